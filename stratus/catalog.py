@@ -232,7 +232,7 @@ clean AS ({_HF_FINAL}),
 corrs AS (SELECT {', '.join(f'{_sql_corr(c, "tempC")} AS {c}' for c in _HF_NUMERIC)} FROM clean)
 SELECT name AS "column", {R('r', 6)} AS r
 FROM (UNPIVOT corrs ON COLUMNS(*) INTO NAME name VALUE r)
-WHERE name <> 'tempC' AND r IS NOT NULL ORDER BY r DESC, name LIMIT 10""", "obs_hourly"))
+WHERE name <> 'tempC' AND r IS NOT NULL ORDER BY {R('r', 10)} DESC, name LIMIT 10""", "obs_hourly"))
 def c5_top_corr(spark, sf):
     feats = hourly_features(spark, sf)
     cols = [c for c in rules.numeric_columns(feats) if c != "row_idx"]
@@ -637,3 +637,27 @@ def g1_future_rows(spark, sf):
     return round_doubles(rows.select("horizon_hours", "forecast_for", "hour", "day", "month", "weekday", "quarter",
                                      "year", "hour_sin", "hour_cos", "day_sin", "month_sin", "temp_lag_1",
                                      "temp_roll_mean_24"), 6)
+
+
+# ------------------------------------------------------------------ models ---
+
+def _train_config(feats):
+    from .plans.features import model_features
+    from .plans.training import TrainConfig
+    return TrainConfig(features=model_features(feats))
+
+
+@register("m_train_evaluate_temperature")
+def m_train_temperature(spark, sf):
+    """Standardised linear regression and the random forest
+    (reference settings) fitted on the chronological train split of the
+    hourly features; MAE / RMSE / R^2 per model on the test rows.  The boosted
+    baselines and final models live in ``plans.training``; their
+    one-iteration-at-a-time fits are exercised by the test suite."""
+    from .plans import training as T
+    feats = hourly_features(spark, sf)
+    cfg = _train_config(feats)
+    cfg.models = ("LinearRegression", "RandomForest")
+    data = T.prepare(feats, cfg)
+    models = T.fit_baselines(data, cfg)
+    return T.baseline_metrics(models, data, cfg.temp)

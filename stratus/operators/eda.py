@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import MONSOON_MONTHS, month_name, week_ending_sunday
-from ..functions.rounding import half_even
+from ..functions.rounding import half_even, half_up
 from ..functions.rules import numeric_columns
 
 # Fixed values that must equal the reference's results.
@@ -121,7 +121,10 @@ def correlations_with(df: DataFrame, target: str = "tempC", columns=None) -> Dat
 def top_correlations(df: DataFrame, target: str = "tempC", k: int = TOP_CORRELATIONS, columns=None) -> DataFrame:
     """The ``k`` largest signed correlations, target itself excluded."""
     corr = correlations_with(df, target, columns).filter(F.col("column") != target)
-    return corr.filter(F.col("r").isNotNull()).orderBy(F.col("r").desc(), F.col("column")).limit(k)
+    # Rank on r rounded to 10 dp so columns whose r differs only by float
+    # noise (e.g. a value and its anomaly) tie and fall back to the name.
+    ranked = half_up("r", 10).desc()
+    return corr.filter(F.col("r").isNotNull()).orderBy(ranked, F.col("column")).limit(k)
 
 
 def correlation_matrix(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:

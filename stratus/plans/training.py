@@ -34,6 +34,7 @@ RF_PARAMS = dict(numTrees=100, maxDepth=12)
 BOOST_BASELINE = dict(maxIter=200, maxDepth=6, stepSize=0.1, subsamplingRate=0.8)
 BOOST_FINAL = dict(maxIter=300, maxDepth=6, stepSize=0.05, subsamplingRate=0.8)
 COLUMN_SAMPLE = "0.8"
+ROWS_PER_PARTITION = 500_000
 
 
 @dataclass
@@ -70,8 +71,10 @@ def regressors(cfg: TrainConfig, label: str) -> dict:
         out["LinearRegression"] = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
                                    LinearRegression(featuresCol="scaled", labelCol=label, regParam=0.0)]
     if "RandomForest" in cfg.models:
+        # Deep trees: cache node ids and let one pass grow a whole level.
         out["RandomForest"] = [RandomForestRegressor(labelCol=label, numTrees=cfg.rf_trees, maxDepth=RF_PARAMS["maxDepth"],
-                                                     featureSubsetStrategy="all", seed=SEED)]
+                                                     featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True,
+                                                     maxMemoryInMB=1024)]
     if "GBT" in cfg.models:
         out["GBT"] = [GBTRegressor(labelCol=label, maxIter=cfg.baseline_iters, maxDepth=6, stepSize=0.1,
                                    subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED)]
@@ -90,9 +93,9 @@ def final_regressor(label: str, iters: int, prediction_col: str) -> GBTRegressor
 
 
 def rain_classifier(label: str, iters: int) -> GBTClassifier:
-    return GBTClassifier(labelCol=label, weightCol="_w", predictionCol="rain_pred", probabilityCol="rain_prob_vec",
-                         rawPredictionCol="rain_raw", maxIter=iters, maxDepth=6, stepSize=0.05,
-                         subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED)
+    clf = GBTClassifier(labelCol=label, weightCol="_w", predictionCol="rain_pred", maxIter=iters, maxDepth=6,
+                        stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED)
+    return clf.setProbabilityCol("rain_prob_vec").setRawPredictionCol("rain_raw")
 
 
 def prepare(engineered: DataFrame, cfg: TrainConfig) -> DataFrame:
@@ -103,7 +106,12 @@ def prepare(engineered: DataFrame, cfg: TrainConfig) -> DataFrame:
     keep = [*cfg.key, "series_idx", "is_train", cfg.temp, cfg.rain, *([cfg.feels] if cfg.feels in split.columns else []),
             *[c for c in cfg.features if c in split.columns]]
     table = split.select(*dict.fromkeys(keep)).withColumns(missing)
-    return materialize(assembler(cfg.features).transform(table), "model-input")
+    data = materialize(assembler(cfg.features).transform(table), "model-input")
+    # Iterative learners run one job per tree level; size partitions by rows
+    # so small tables do not pay per-task overhead and large ones stay spread.
+    n = data.count()
+    parts = max(1, min(data.rdd.getNumPartitions(), -(-n // ROWS_PER_PARTITION)))
+    return data.coalesce(parts)
 
 
 def fit_baselines(data: DataFrame, cfg: TrainConfig) -> dict:
