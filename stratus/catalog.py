@@ -50,9 +50,9 @@ def rows_features(spark, sf, drop=True):
     return engineer(A.obs_rows(spark, sf), ROWS_COLS, drop_incomplete=drop)
 
 
-def hourly_split(spark, sf):
+def hourly_split(spark, sf, feats=None):
     """Complete-case hourly features, re-indexed after the filter, 80/20 split."""
-    feats = hourly_features(spark, sf)
+    feats = feats if feats is not None else hourly_features(spark, sf)
     idx = index.with_row_index(feats, "row_idx", index_col="clean_idx", key_index_col="series_idx")
     return index.chrono_split(idx, 0.8)
 
@@ -661,3 +661,99 @@ def m_train_temperature(spark, sf):
     data = T.prepare(feats, cfg)
     models = T.fit_baselines(data, cfg)
     return T.baseline_metrics(models, data, cfg.temp)
+
+
+# --------------------------------------------------------- tables & charts ---
+
+_HF_MODEL = [c for c in _HF_COLS if c not in set(rules.EXCLUDED_FROM_FEATURES) | {"row_idx"}]
+_SEED_VALUES = ", ".join(f"('{m}', '{v}', '{t}', '{n}', {x})" for m, v, t, n, x in tables.SEED_METRICS)
+
+
+@register("a8_model_metrics", _TEST_SQL + f""",
+wide AS (
+  SELECT {E('avg(abs(tempC - temp_lag_1))', 4)} AS MAE, {E('sqrt(avg((tempC - temp_lag_1) * (tempC - temp_lag_1)))', 4)} AS RMSE,
+         {E('1 - sum((tempC - temp_lag_1) * (tempC - temp_lag_1)) / (var_samp(tempC) * (count(*) - 1))', 4)} AS R2
+  FROM test),
+sizes AS (SELECT count(*) FILTER (WHERE is_train) AS tr, count(*) FILTER (WHERE NOT is_train) AS te FROM split),
+computed AS (
+  SELECT 'Persistence' AS model_name, 'v1.0' AS model_version, 'temperature' AS target, name AS metric_name,
+         value AS metric_value, CAST(tr AS INTEGER) AS train_samples, CAST(te AS INTEGER) AS test_samples,
+         CAST({len(_HF_MODEL)} AS INTEGER) AS n_features
+  FROM wide UNPIVOT (value FOR name IN (MAE, RMSE, R2)), sizes),
+seed AS (
+  SELECT m AS model_name, v AS model_version, t AS target, n AS metric_name, CAST(x AS DOUBLE) AS metric_value,
+         92870 AS train_samples, 23218 AS test_samples, 71 AS n_features
+  FROM (VALUES {_SEED_VALUES}) s(m, v, t, n, x))
+SELECT model_name, model_version, target, metric_name, CAST(metric_value AS DECIMAL(10,6)) AS metric_value,
+       train_samples, test_samples, n_features
+FROM (SELECT * FROM seed UNION ALL SELECT * FROM computed)""")
+def a8_model_metrics(spark, sf):
+    """A8 + A5: seed rows plus metrics computed by Spark, in the tidy
+    ``model_metrics`` shape (here for the lag-1 persistence forecaster)."""
+    from .sources.observations import metrics_long
+    feats = hourly_features(spark, sf)
+    split = hourly_split(spark, sf, feats)
+    test = split.filter(~F.col("is_train"))
+    m = evaluate.regression_metrics(test, "tempC", "temp_lag_1").select(
+        F.col("mae").alias("MAE"), F.col("rmse").alias("RMSE"), F.col("r2").alias("R2"))
+    n_train = split.select(F.count_if("is_train")).scalar()
+    n_test = split.select(F.count_if(~F.col("is_train"))).scalar()
+    n_feat = len(_train_config(feats).features)
+    wide = m.select(
+        F.lit("Persistence").alias("model_name"), F.lit("v1.0").alias("model_version"),
+        F.lit("temperature").alias("target"), n_train.alias("train_samples"), n_test.alias("test_samples"),
+        F.lit(n_feat).alias("n_features"), "MAE", "RMSE", "R2")
+    long = metrics_long(wide, ["model_name", "model_version", "target", "train_samples", "test_samples",
+                               "n_features"], ["MAE", "RMSE", "R2"])
+    out = tables.metrics_frame(spark, long)
+    return out.select("model_name", "model_version", "target", "metric_name", "metric_value", "train_samples",
+                      "test_samples", "n_features")
+
+
+@register("a9_prediction_logs", with_views("""
+SELECT created_at AS requested_at, 'batch' AS endpoint, horizon_hours,
+       to_json(struct_pack(humidity_pred := humidity_pred, pressure_pred := pressure_pred, wind_pred := wind_pred))::VARCHAR
+         AS input_features,
+       TRY_CAST(temp_predicted AS DECIMAL(5,2)) AS temp_out, TRY_CAST(feels_predicted AS DECIMAL(5,2)) AS feels_out,
+       TRY_CAST(rain_prob_pct AS DECIMAL(5,2)) AS rain_prob_out, 'xgboost-v1' AS model_version, 'success' AS status
+FROM forecasts""", "forecasts"))
+def a9_logs(spark, sf):
+    f = A.persistence_forecasts(A.obs_hourly(spark, sf)).select(
+        "*", F.col("temp_predicted").alias("temperature"), F.col("feels_predicted").alias("feels_like"),
+        F.col("rain_prob_pct").alias("rain_probability"))
+    logs = tables.prediction_logs(f, ["humidity_pred", "pressure_pred", "wind_pred"], requested_at="created_at")
+    return logs.select("requested_at", "endpoint", "horizon_hours", "input_features", "temp_out", "feels_out",
+                       "rain_prob_out", "model_version", "status")
+
+
+@register("b17_forecast_chart_rows", with_views("""
+SELECT CASE horizon_hours WHEN 1 THEN '1 Hour' WHEN 3 THEN '3 Hours' WHEN 6 THEN '6 Hours' END AS name,
+       temp_predicted AS "Temperature", feels_predicted AS "Feels Like",
+       CAST(floor(rain_prob_pct + 0.5) AS BIGINT) AS "Rain %"
+FROM forecasts WHERE created_at = (SELECT max(created_at) FROM forecasts) AND horizon_hours IN (1, 3, 6)""",
+    "forecasts"))
+def b17_chart(spark, sf):
+    f = A.persistence_forecasts(A.obs_hourly(spark, sf))
+    newest = f.select(F.max("created_at")).scalar()
+    std = fc.standard_horizons()
+    latest = f.filter((F.col("created_at") == newest) & F.col("horizon_hours").isin(*std))
+    pos = F.array_position(F.array(*[F.lit(h) for h in std]), F.col("horizon_hours").cast("int"))
+    rows = latest.select(pos.alias("position"), "horizon_hours", F.col("temp_predicted").alias("temperature"),
+                         F.col("feels_predicted").alias("feels_like"), F.col("rain_prob_pct").alias("rain_probability"))
+    return rules.forecast_chart_rows(rows)
+
+
+@register("c6_top20_feature_importance")
+def c6_importance(spark, sf):
+    """The 20 most important features of the random-forest
+    temperature model (reference settings) fitted on the train split."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from .plans import training as T
+    feats = hourly_features(spark, sf)
+    cfg = _train_config(feats)
+    data = T.prepare(feats, cfg)
+    rf = T.regressors(cfg, cfg.temp)["RandomForest"][0]
+    model = rf.fit(data.filter("is_train"))
+    assert isinstance(rf, RandomForestRegressor)
+    return T.feature_importance(model, cfg.features, 20)

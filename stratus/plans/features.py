@@ -78,13 +78,15 @@ def engineer(raw: DataFrame, cols: SeriesColumns = SeriesColumns(), drop_incompl
     nan_safe = {f.name: F.nanvl(F.col(f.name), F.lit(None).cast("double"))
                 for f in raw.schema.fields if f.dataType.typeName() in ("double", "float")}
     base = raw.withColumns(nan_safe) if nan_safe else raw
-    base = cyclical(time_parts(base, cols.ts))
     # Monthly means over *all* rows (before the complete-case filter).
     anomalies = {n: c for n, c in (("temp_anomaly", cols.temp), ("rain_anomaly", cols.precip)) if c in present}
-    base = anomaly(base, anomalies, "month", keys or None)
+    base = anomaly(base.withColumn("_month", F.month(cols.ts)), anomalies, "_month", keys or None).drop("_month")
     indexed = with_row_index(base, cols.ts, keys or None, list(cols.tiebreak) or None,
                              num_partitions=num_partitions)
     windowed = add_series_windows(indexed, window_specs(cols, present), keys or None, "row_idx", chunk_rows)
+    # Calendar parts are cheap projections: computed after the materialised
+    # index so they are never written to storage.
+    windowed = cyclical(time_parts(windowed, cols.ts))
     pairs = (("temp_humidity", cols.temp, cols.humidity), ("temp_pressure", cols.temp, cols.pressure),
              ("wind_temp", cols.wind, cols.temp), ("humidity_pressure", cols.humidity, cols.pressure))
     out = season_flags(interactions(windowed, pairs))
