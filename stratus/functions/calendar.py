@@ -77,5 +77,19 @@ def dashboard_season(month) -> Column:
 
 
 def week_ending_sunday(ts) -> Column:
-    """Label of a pandas ``resample('W')`` bucket: the Sunday closing the week."""
-    return F.date_add(F.to_date(F.date_trunc("week", _col(ts))), 6)
+    """Label of a pandas ``resample('W')`` bucket: the Sunday closing the week.
+    Pure date arithmetic, so the session time zone cannot move it."""
+    d = F.to_date(_col(ts))
+    return F.date_add(d, F.lit(6) - F.weekday(d))
+
+
+def hour_start(ts) -> Column:
+    """``ts`` truncated to the hour as ``timestamp_ntz`` (field arithmetic:
+    independent of the session time zone and of daylight-saving gaps)."""
+    t = _col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
+def day_start(ts) -> Column:
+    """``ts`` truncated to midnight as ``timestamp_ntz``."""
+    return F.to_date(_col(ts)).cast("timestamp_ntz")

@@ -53,7 +53,7 @@ def _unpivot(wide: DataFrame, names: list[str], key: str, value: str, value_type
 def overview(df: DataFrame, ts: str = "date_time") -> DataFrame:
     """Rows, columns, first/last time, whole days between them."""
     start, end = F.min(ts), F.max(ts)
-    seconds = F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))
+    seconds = F.timestamp_diff("SECOND", start, end)
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.lit(len(df.columns)).alias("n_columns"),
                   start.alias("start"), end.alias("end"),

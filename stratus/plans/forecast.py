@@ -99,6 +99,6 @@ def fallback(horizons, issued_at) -> DataFrame:
     df = spark.createDataFrame([(int(h),) for h in horizons], "horizon_hours int")
     return df.select(
         "horizon_hours",
-        F.date_format(F.lit(issued_at).cast("timestamp") + F.make_dt_interval(hours=F.col("horizon_hours")),
+        F.date_format(F.lit(issued_at).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("horizon_hours")),
                       "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         *[F.lit(v).alias(k) for k, v in FALLBACK.items()])

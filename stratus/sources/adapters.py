@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.calendar import day_start, hour_start
 from ..functions.rounding import half_up
 from ..functions.rules import rain_label
 
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def obs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
-    return (ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("date_time"))
+    return (ev.groupBy(hour_start("ts").alias("date_time"))
             .agg(half_up(F.avg("value"), 2).alias("tempC"),
                  half_up(F.coalesce(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))),
                                     F.lit(0.0)) / 100, 2).alias("precipMM"),
@@ -47,7 +48,7 @@ def obs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def obs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_quantity", "l_discount", "l_tax")
-    return (li.groupBy(F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("date_time"))
+    return (li.groupBy(day_start("l_shipdate").alias("date_time"))
             .agg(half_up(F.avg("l_quantity"), 2).alias("tempC"),
                  half_up(F.avg("l_discount") * 1000, 2).alias("humidity"),
                  half_up(F.coalesce(F.sum(F.when(F.col("l_discount") >= 0.1, F.col("l_quantity"))),
