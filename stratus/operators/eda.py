@@ -73,11 +73,19 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
-def describe(df: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 2) -> DataFrame:
+def _percentile(x, q: float, relative_error: float | None):
+    if relative_error is None:
+        return F.percentile(x, q)
+    return F.percentile_approx(x, q, int(round(1 / relative_error)))
+
+
+def describe(df: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 2,
+             relative_error: float | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles (linear interpolation), max.
 
     Exact percentiles keep one counter per *distinct* value, so memory follows
-    the column's resolution, not the row count.
+    the column's resolution, not the row count.  For high-cardinality columns
+    pass ``relative_error`` to use a fixed-size quantile sketch instead.
     """
     present = [c for c in columns if c in df.columns]
     stats = []
@@ -87,9 +95,9 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 2) -> DataFr
             F.lit(c).alias("column"), F.count(x).alias("count"),
             half_even(F.avg(x), digits).alias("mean"), half_even(F.stddev_samp(x), digits).alias("std"),
             half_even(F.min(x), digits).alias("min"),
-            half_even(F.percentile(x, 0.25), digits).alias("p25"),
-            half_even(F.percentile(x, 0.5), digits).alias("p50"),
-            half_even(F.percentile(x, 0.75), digits).alias("p75"),
+            half_even(_percentile(x, 0.25, relative_error), digits).alias("p25"),
+            half_even(_percentile(x, 0.5, relative_error), digits).alias("p50"),
+            half_even(_percentile(x, 0.75, relative_error), digits).alias("p75"),
             half_even(F.max(x), digits).alias("max")).alias(c))
     wide = df.agg(*stats)
     return wide.select(F.explode(F.array(*[F.col(c) for c in present])).alias("s")).select("s.*")
@@ -197,6 +205,7 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS, where=None
             .select("bin", "lower", "upper", F.coalesce("count", F.lit(0)).alias("count")))
 
 
-def quantile(df: DataFrame, column: str, q: float, where=None, name: str | None = None) -> DataFrame:
+def quantile(df: DataFrame, column: str, q: float, where=None, name: str | None = None,
+             relative_error: float | None = None) -> DataFrame:
     src = df.filter(where) if where is not None else df
-    return src.agg(F.percentile(F.col(column).cast("double"), q).alias(name or f"p{int(q * 100)}"))
+    return src.agg(_percentile(F.col(column).cast("double"), q, relative_error).alias(name or f"p{int(q * 100)}"))

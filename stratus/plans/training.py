@@ -69,7 +69,8 @@ def regressors(cfg: TrainConfig, label: str) -> dict:
     out = {}
     if "LinearRegression" in cfg.models:
         out["LinearRegression"] = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-                                   LinearRegression(featuresCol="scaled", labelCol=label, regParam=0.0)]
+                                   LinearRegression(featuresCol="scaled", labelCol=label, regParam=0.0,
+                                                    solver="normal")]
     if "RandomForest" in cfg.models:
         # Deep trees: cache node ids and let one pass grow a whole level.
         out["RandomForest"] = [RandomForestRegressor(labelCol=label, numTrees=cfg.rf_trees, maxDepth=RF_PARAMS["maxDepth"],

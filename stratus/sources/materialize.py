@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
+_WRITTEN: list[str] = []
+
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return a scan of it."""
@@ -23,4 +25,20 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/stratus-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the tables this process materialised (call when the job's
+    results are written; DataFrames reading them become invalid)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    return removed

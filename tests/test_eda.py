@@ -90,3 +90,10 @@ def test_monthly_groups_drop_null_keys(spark):
     assert [r.month for r in eda.monthly_temperature(df).collect()] == [10]
     season = summary.seasonal_summary(df).collect()
     assert [(r.season, r.avg_temp) for r in season] == [("Post-Monsoon", 2.0)]
+
+
+def test_describe_sketch_is_close(spark):
+    df = spark.range(0, 10001).selectExpr("cast(id as double) / 100 as tempC")
+    exact = eda.describe(df, ["tempC"]).first()
+    approx = eda.describe(df, ["tempC"], relative_error=1e-3).first()
+    assert abs(exact.p50 - approx.p50) <= 0.1 and abs(exact.p75 - approx.p75) <= 0.1

@@ -71,3 +71,10 @@ def test_streaming_load_matches_batch(spark):
     ok = spark.read.parquet(os.path.join(d, "ok")).count()
     bad = spark.read.parquet(os.path.join(d, "bad")).count()
     assert (ok, bad) == (11, 1)  # humidity 110 violates the 0-100 check
+
+
+def test_materialize_and_cleanup(spark):
+    from stratus.sources.materialize import cleanup, materialize
+    df = materialize(spark.range(5), "unit")
+    assert df.count() == 5
+    assert cleanup(spark) >= 1
