@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
 from ..sources.materialize import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
@@ -48,8 +47,11 @@ def with_row_index(df: DataFrame, order_by, key=None, tiebreak=None, index_col:
     """
     keys, order, tb = _as_list(key), _as_list(order_by), _as_list(tiebreak)
     sort_cols = keys + order + tb
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *sort_cols)
+    # Without an explicit count AQE coalesces adjacent range partitions to its
+    # advisory size; coalescing keeps them in key order.
+    ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else df.repartitionByRange(*sort_cols))
+    ranged = (ranged
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
