@@ -47,7 +47,8 @@ def lag_specs(columns: dict, lags) -> list[WindowSpec]:
 def _expr(spec: WindowSpec, w) -> F.Column:
     c = F.col(spec.column)
     if spec.kind == "lag":
-        return F.lag(c, spec.n).over(w)
+        # pandas ``shift`` turns integers into floats (NaN padding): lags are doubles.
+        return F.lag(c, spec.n).over(w).cast("double")
     frame = w.rowsBetween(-(spec.n - 1), Window.currentRow)
     agg = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum}[spec.kind]
     return F.when(F.count(c).over(frame) == spec.n, agg(c).over(frame))

@@ -47,8 +47,8 @@ def feature_sql(view: str, types: dict, key: str | None = None, tiebreak=(), dro
     win_cols, out_types = [], {}
     for k in LAGS:
         for p, c in lagged:
-            win_cols.append(f"lag({c}, {k}) OVER {w}) AS {p}_lag_{k}")
-            out_types[f"{p}_lag_{k}"] = types[c]
+            win_cols.append(f"CAST(lag({c}, {k}) OVER {w}) AS DOUBLE) AS {p}_lag_{k}")
+            out_types[f"{p}_lag_{k}"] = "double"
     for n in ROLLING_WINDOWS:
         frame = f"{w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
         for name, fn, c in ((f"temp_roll_mean_{n}", "avg", "tempC"), (f"temp_roll_std_{n}", "stddev_samp", "tempC"),
