@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.calendar import MONSOON_MONTHS, month_name, week_ending_sunday
 from ..functions.rounding import half_even, half_up
 from ..functions.rules import numeric_columns
+from .quantiles import exact_quantiles
 
 # Fixed values that must equal the reference's results.
 DESCRIBE_COLUMNS = ("tempC", "FeelsLikeC", "humidity", "pressure", "windspeedKmph", "precipMM", "cloudcover")
@@ -73,34 +74,40 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
-def _percentile(x, q: float, relative_error: float | None):
-    if relative_error is None:
-        return F.percentile(x, q)
-    return F.percentile_approx(x, q, int(round(1 / relative_error)))
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def describe(df: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 2,
              relative_error: float | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles (linear interpolation), max.
 
-    Exact percentiles keep one counter per *distinct* value, so memory follows
-    the column's resolution, not the row count.  For high-cardinality columns
-    pass ``relative_error`` to use a fixed-size quantile sketch instead.
+    Moments come from one aggregate over all columns.  Exact quartiles come
+    from :func:`stratus.operators.quantiles.exact_quantiles`, a distributed
+    plan whose memory per task does not grow with the number of distinct
+    values.  ``relative_error`` switches to Spark's fixed-size quantile
+    sketch (``percentile_approx``) instead.
     """
     present = [c for c in columns if c in df.columns]
-    stats = []
-    for c in present:
+    moments = []
+    for i, c in enumerate(present):
         x = F.col(c).cast("double")
-        stats.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"),
-            half_even(F.avg(x), digits).alias("mean"), half_even(F.stddev_samp(x), digits).alias("std"),
-            half_even(F.min(x), digits).alias("min"),
-            half_even(_percentile(x, 0.25, relative_error), digits).alias("p25"),
-            half_even(_percentile(x, 0.5, relative_error), digits).alias("p50"),
-            half_even(_percentile(x, 0.75, relative_error), digits).alias("p75"),
-            half_even(F.max(x), digits).alias("max")).alias(c))
-    wide = df.agg(*stats)
-    return wide.select(F.explode(F.array(*[F.col(c) for c in present])).alias("s")).select("s.*")
+        fields = [F.lit(i).alias("_ord"), F.lit(c).alias("column"), F.count(x).alias("count"),
+                  F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+                  F.max(x).alias("max")]
+        if relative_error is not None:
+            acc = int(round(1 / relative_error))
+            fields += [F.percentile_approx(x, q, acc).alias(f"p{int(q * 100)}") for q in QUARTILES]
+        moments.append(F.struct(*fields).alias(c))
+    wide = df.agg(*moments)
+    stats = wide.select(F.explode(F.array(*[F.col(c) for c in present])).alias("s")).select("s.*")
+    if relative_error is None:
+        q = exact_quantiles(df, present, QUARTILES)
+        quart = q.groupBy("column").agg(*[F.max(F.when(F.col("q") == qv, F.col("value"))).alias(f"p{int(qv * 100)}")
+                                          for qv in QUARTILES])
+        stats = stats.join(quart, "column", "left")  # one row per column on each side
+    r = lambda c: half_even(F.col(c), digits).alias(c)
+    return stats.orderBy("_ord").select("column", "count", r("mean"), r("std"), r("min"), r("p25"), r("p50"),
+                                        r("p75"), r("max"))
 
 
 def rain_stats(df: DataFrame, precip: str = "precipMM") -> DataFrame:
@@ -207,5 +214,10 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS, where=None
 
 def quantile(df: DataFrame, column: str, q: float, where=None, name: str | None = None,
              relative_error: float | None = None) -> DataFrame:
-    src = df.filter(where) if where is not None else df
-    return src.agg(_percentile(F.col(column).cast("double"), q, relative_error).alias(name or f"p{int(q * 100)}"))
+    """One-row table with the ``q`` quantile of ``column`` (NULL when empty)."""
+    name = name or f"p{int(q * 100)}"
+    if relative_error is not None:
+        src = df.filter(where) if where is not None else df
+        return src.agg(F.percentile_approx(F.col(column).cast("double"), q, int(round(1 / relative_error))).alias(name))
+    # A global aggregate always returns one row, NULL for an empty input.
+    return exact_quantiles(df, [column], [q], where).agg(F.max("value").alias(name))

@@ -8,6 +8,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _LOCAL_CHECKPOINT_ROOT: str | None = None
+_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -36,6 +37,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", os.environ.get("STRATUS_DRIVER_MEMORY", "12g"))
+        # Wide feature projections (60+ columns) generate methods above
+        # HotSpot's 8 KB "huge method" limit, which are then never JIT-compiled
+        # and run interpreted.  Here this process launches the JVM; on a
+        # cluster pass the same flag through spark-submit (driver and
+        # executors) so it joins the cluster's own JVM options.
+        conf["spark.driver.extraJavaOptions"] = _HUGE_METHODS
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
