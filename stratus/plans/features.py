@@ -2,10 +2,11 @@
 
 Physical shape of the plan (see ``explain``):
 
-* the calendar-month means for the anomalies are a partial aggregate over the
-  scan, broadcast back (bounded by the number of months, or joined under AQE
-  when a station key is present);
-* one range exchange assigns the global row index (``with_row_index``);
+* one range exchange assigns the global row index (``with_row_index``) and
+  the sorted rows are written once to the checkpoint folder;
+* the calendar-month means for the anomalies are a partial aggregate over
+  that table, broadcast back (bounded by the number of months, or joined
+  under AQE when a station key is present);
 * one hash exchange on (key, chunk) feeds every lag and rolling column;
 * projections (calendar, cyclical, interactions, seasons, target) fuse into
   the surrounding whole-stage-codegen stages.
@@ -78,11 +79,13 @@ def engineer(raw: DataFrame, cols: SeriesColumns = SeriesColumns(), drop_incompl
     nan_safe = {f.name: F.nanvl(F.col(f.name), F.lit(None).cast("double"))
                 for f in raw.schema.fields if f.dataType.typeName() in ("double", "float")}
     base = raw.withColumns(nan_safe) if nan_safe else raw
-    # Monthly means over *all* rows (before the complete-case filter).
-    anomalies = {n: c for n, c in (("temp_anomaly", cols.temp), ("rain_anomaly", cols.precip)) if c in present}
-    base = anomaly(base.withColumn("_month", F.month(cols.ts)), anomalies, "_month", keys or None).drop("_month")
     indexed = with_row_index(base, cols.ts, keys or None, list(cols.tiebreak) or None,
                              num_partitions=num_partitions)
+    # Monthly means over *all* rows (before the complete-case filter), taken
+    # from the materialised index table so the range sampling and the write
+    # above scan only the raw columns.
+    anomalies = {n: c for n, c in (("temp_anomaly", cols.temp), ("rain_anomaly", cols.precip)) if c in present}
+    indexed = anomaly(indexed.withColumn("_month", F.month(cols.ts)), anomalies, "_month", keys or None).drop("_month")
     windowed = add_series_windows(indexed, window_specs(cols, present), keys or None, "row_idx", chunk_rows)
     # Calendar parts are cheap projections: computed after the materialised
     # index so they are never written to storage.
