@@ -639,6 +639,54 @@ def g1_future_rows(spark, sf):
                                      "temp_roll_mean_24"), 6)
 
 
+_FUTURE_COLS = ("horizon_hours", "forecast_for", "hour", "day", "month", "weekday", "quarter", "year", "hour_sin",
+                "hour_cos", "day_sin", "month_sin", "temp_lag_1", "temp_roll_mean_24")
+
+
+def _future_sql(horizons: str, key: str | None = None) -> str:
+    """Projection of the moved calendar fields over a CTE ``moved``."""
+    lead = f"{key}, " if key else ""
+    return f"""
+SELECT {lead}horizon_hours, forecast_for, CAST(hour(forecast_for) AS INTEGER) AS hour, CAST(day(forecast_for) AS INTEGER) AS day,
+       CAST(month(forecast_for) AS INTEGER) AS month, CAST(isodow(forecast_for) - 1 AS INTEGER) AS weekday,
+       CAST(quarter(forecast_for) AS INTEGER) AS quarter, year,
+       {R('sin(2 * pi() * hour(forecast_for) / 24.0)', 6)} AS hour_sin, {R('cos(2 * pi() * hour(forecast_for) / 24.0)', 6)} AS hour_cos,
+       {R('day_sin', 6)} AS day_sin, {R('sin(2 * pi() * month(forecast_for) / 12.0)', 6)} AS month_sin,
+       {R('temp_lag_1', 6)} AS temp_lag_1, {R('temp_roll_mean_24', 6)} AS temp_roll_mean_24
+FROM (SELECT *, date_time + horizon_hours * INTERVAL 1 HOUR AS forecast_for
+      FROM (SELECT *, unnest({horizons}) AS horizon_hours FROM last))"""
+
+
+@register("g5_hourly_future_rows", with_views(f"""
+, {HOURLY_FEATURES_CTE.strip()},
+clean AS ({HOURLY_FEATURES_FINAL}),
+last AS (SELECT * FROM clean ORDER BY date_time DESC LIMIT 1)""" + _future_sql("range(1, 25)"), "obs_hourly"))
+def g5_hourly_future_rows(spark, sf):
+    """The hour-by-hour forecast rows (1..24, the API default) of the
+    latest complete hourly row."""
+    rows = fc.future_rows(hourly_features(spark, sf), fc.hourly_horizons(24))
+    return round_doubles(rows.select(*_FUTURE_COLS), 6)
+
+
+_ROWS_CTE, _ROWS_FINAL, _ = O.feature_sql("obs_rows", O.ROWS_TYPES, key="location", tiebreak=A.LINEITEM_TIEBREAK,
+                                          round_digits=None)
+_ROWS_DESC = ", ".join(f"{c} DESC" for c in ("date_time", *A.LINEITEM_TIEBREAK))
+
+
+@register("g1_future_rows_by_location", with_views(f"""
+, {_ROWS_CTE.strip()},
+clean AS ({_ROWS_FINAL}),
+last AS (SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY location ORDER BY {_ROWS_DESC}) = 1)"""
+                                                   + _future_sql("[1, 3, 6]", "location"), "obs_rows"))
+def g1_future_rows_by_location(spark, sf):
+    """G1/G4 as a batch: the latest complete engineered row of every station
+    (a ``max_by`` aggregate, no sort) x the standard horizons, calendar
+    fields moved to the target time."""
+    feats = rows_features(spark, sf)
+    rows = fc.future_rows(feats, fc.standard_horizons(), key="location", tiebreak=A.LINEITEM_TIEBREAK)
+    return round_doubles(rows.select("location", *_FUTURE_COLS), 6)
+
+
 # ------------------------------------------------------------------ models ---
 
 def _train_config(feats):
