@@ -3,13 +3,20 @@
 The reference loads its history tables in batches; the same conform rules
 (A6, A7) are plain projections, so they run unchanged on a streaming
 DataFrame.  Each micro-batch is split once into loadable and rejected rows
-by ``foreachBatch`` and appended to two Parquet sinks; the checkpoint folder
-gives exactly-once file tracking across restarts and executor loss.
+by ``foreachBatch`` and written to two Parquet sinks.
+
+``foreachBatch`` alone is at-least-once: a batch that fails after part of its
+write is replayed after a restart.  Each batch is therefore written into its
+own ``load_batch=<id>`` partition with dynamic partition overwrite, so a
+replay replaces that batch's files instead of appending them a second time.
+Together with the source offsets in the checkpoint folder, every input file
+lands exactly once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,11 +31,22 @@ def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt:
     return reader.load(source_dir)
 
 
-def _append_split(batch: DataFrame, valid_path: str, rejected_path: str, partition_by) -> None:
+BATCH_COLUMN = "load_batch"
+
+
+def _write_batch(rows: DataFrame, path: str, batch_id: int, partition_by=()) -> None:
+    """Idempotent write of one micro-batch: only its own partition(s) are replaced."""
+    (rows.withColumn(BATCH_COLUMN, F.lit(int(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH_COLUMN, *partition_by).parquet(path))
+
+
+def write_split(batch: DataFrame, batch_id: int, valid_path: str, rejected_path: str, partition_by=()) -> None:
+    """Loadable rows to ``valid_path``, rejected rows (with reason) to ``rejected_path``."""
     batch.persist()
     try:
-        tables.append(batch, valid_path, partition_by)
-        tables.rejected(batch).write.mode("append").parquet(rejected_path)
+        _write_batch(tables.loadable(batch), valid_path, batch_id, partition_by)
+        _write_batch(tables.rejected(batch), rejected_path, batch_id)
     finally:
         batch.unpersist()
 
@@ -38,7 +56,7 @@ def start_load(conformed: DataFrame, valid_path: str, rejected_path: str, checkp
     """Append a conformed stream: loadable rows to ``valid_path``, the rest
     (with their ``rejection`` reason) to ``rejected_path``."""
     writer = (conformed.writeStream
-              .foreachBatch(lambda df, _epoch: _append_split(df, valid_path, rejected_path, partition_by))
+              .foreachBatch(lambda df, epoch: write_split(df, epoch, valid_path, rejected_path, partition_by))
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)

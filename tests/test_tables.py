@@ -73,6 +73,19 @@ def test_streaming_load_matches_batch(spark):
     assert (ok, bad) == (11, 1)  # humidity 110 violates the 0-100 check
 
 
+def test_replayed_batch_is_not_loaded_twice(spark):
+    d = tempfile.mkdtemp(prefix="stratus-replay-")
+    df = spark.createDataFrame([(datetime(2024, 1, 1, h), 20.0 + h, float(h * 10), 0.0) for h in range(12)],
+                               "recorded_at timestamp_ntz, temp_c double, humidity double, precip_mm double")
+    batch = tables.conform_weather_history(df, "here")
+    ok, bad = os.path.join(d, "ok"), os.path.join(d, "bad")
+    for epoch in (0, 0, 1):  # batch 0 replayed after a failure, then batch 1
+        ingest.write_split(batch, epoch, ok, bad)
+    counts = {r.load_batch: r["count"] for r in spark.read.parquet(ok).groupBy("load_batch").count().collect()}
+    assert counts == {0: 11, 1: 11}
+    assert spark.read.parquet(bad).count() == 2
+
+
 def test_materialize_and_cleanup(spark):
     from stratus.sources.materialize import cleanup, materialize
     df = materialize(spark.range(5), "unit")
