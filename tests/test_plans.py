@@ -45,3 +45,13 @@ def test_month_means_are_broadcast_without_station_key(spark):
     h = A.obs_hourly(spark, SF_SMALL).withColumn("month", F.month("date_time"))
     plan = _plan(anomaly(h, {"temp_anomaly": "tempC"}, "month"))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_exact_quantiles_plan_has_no_single_task_distinct_map(spark):
+    from stratus.operators.eda import describe
+    plan = _plan(describe(A.obs_hourly(spark, SF_SMALL), ["tempC", "precipMM"]))
+    # no percentile aggregate (one map of all distinct values in one task),
+    # no all-pairs join: targets and offsets are broadcast hash joins
+    assert "percentile" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert plan.count("BroadcastHashJoin") >= 2
