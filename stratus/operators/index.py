@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scale_shuffle_partitions
 from ..sources.materialize import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
@@ -48,7 +49,10 @@ def with_row_index(df: DataFrame, order_by, key=None, tiebreak=None, index_col:
     keys, order, tb = _as_list(key), _as_list(order_by), _as_list(tiebreak)
     sort_cols = keys + order + tb
     # Without an explicit count AQE coalesces adjacent range partitions to its
-    # advisory size; coalescing keeps them in key order.
+    # advisory size; coalescing keeps them in key order.  The initial count
+    # (also used by the later window exchange) follows the input size.
+    if not num_partitions:
+        scale_shuffle_partitions(df)
     ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
               else df.repartitionByRange(*sort_cols))
     ranged = (ranged

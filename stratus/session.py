@@ -79,3 +79,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+# About 64 MiB of (compressed) input per shuffle partition: decompressed and
+# shuffled this is a few hundred MB per task, which sorts in executor memory.
+DEFAULT_INPUT_BYTES_PER_PARTITION = 64 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 1_000_000
+_UNKNOWN_SIZE = 1 << 62
+
+
+def scale_shuffle_partitions(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_PER_PARTITION) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a full shuffle of ``df`` gets
+    partitions of about ``bytes_per_partition``; return the value in force.
+
+    AQE coalesces partitions that come out small but never splits large ones
+    (outside skew joins), so the initial count must follow the data: 100 TB
+    needs on the order of a million partitions, not the default 200.  The
+    size is the sum of the plan's leaf relations (file sizes for scans): the
+    bytes read, which joins or explodes above them cannot inflate.  No data
+    is read.  The setting is only ever raised.
+    """
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = 0
+    for i in range(leaves.size()):
+        est = leaves.apply(i).stats().sizeInBytes()
+        est = est if isinstance(est, int) else int(est.toString())
+        if est < _UNKNOWN_SIZE:  # leaves without statistics report Long.MaxValue
+            size += est
+    need = min(MAX_SHUFFLE_PARTITIONS, max(1, -(-size // bytes_per_partition)))
+    current = shuffle_partitions(spark)
+    if need > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(need))
+        return need
+    return current

@@ -67,3 +67,16 @@ def test_empty_and_single_row(spark):
     assert index.with_row_index(df, "t").count() == 0
     one = _frame(spark, [("a", datetime(2024, 1, 1), 1, 1.0)])
     assert index.with_row_index(one, "t").collect()[0].row_idx == 0
+
+
+def test_shuffle_partitions_follow_input_size(spark):
+    from stratus.session import scale_shuffle_partitions, shuffle_partitions
+    before = shuffle_partitions(spark)
+    try:
+        small = spark.range(10)
+        assert scale_shuffle_partitions(small) == before          # never lowered
+        big = spark.range(0, 2_000_000_000)                       # 16 GB by the optimizer's estimate
+        assert scale_shuffle_partitions(big, 64 * 1024 * 1024) == 239
+        assert shuffle_partitions(spark) == 239
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
