@@ -90,7 +90,8 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 2,
     present = [c for c in columns if c in df.columns]
     moments = []
     for i, c in enumerate(present):
-        x = F.col(c).cast("double")
+        # pandas skips NaN in every statistic, as the exact quartiles do.
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         fields = [F.lit(i).alias("_ord"), F.lit(c).alias("column"), F.count(x).alias("count"),
                   F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
                   F.max(x).alias("max")]

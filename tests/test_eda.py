@@ -97,3 +97,12 @@ def test_describe_sketch_is_close(spark):
     exact = eda.describe(df, ["tempC"]).first()
     approx = eda.describe(df, ["tempC"], relative_error=1e-3).first()
     assert abs(exact.p50 - approx.p50) <= 0.1 and abs(exact.p75 - approx.p75) <= 0.1
+
+
+def test_describe_skips_nan_like_pandas(spark):
+    vals = [1.0, float("nan"), 3.0, 4.0]
+    df = spark.createDataFrame([(v,) for v in vals], "tempC double")
+    got = eda.describe(df, ["tempC"]).collect()[0]
+    exp = pd.Series(vals).describe().round(2)
+    assert (got["count"], got.mean, got.std, got.min, got.p50, got.max) == (
+        exp["count"], exp["mean"], exp["std"], exp["min"], exp["50%"], exp["max"])
