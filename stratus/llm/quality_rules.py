@@ -26,6 +26,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +42,7 @@ MAX_REPEAT_PCT = 30
 MIN_TEXTS = 20
 MAX_SHARE = 0.1
 
-#: Words are runs of anything but the ASCII white space (Java and DuckDB read the class alike).
-WORD_SPLIT = r"[\x20\x09-\x0D]+"
+DIGITS = re.compile(rb"[0-9]+")
 
 
 def repeat_words(words: list, window: int = WINDOW) -> int:
@@ -84,30 +84,47 @@ def base_facts(text: Column) -> Column:
     return run(text)
 
 
-def _word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, WORD_SPLIT), lambda w: w != ""))
+def line_facts(line: str) -> tuple[int, int]:
+    """(signed hash of the normalised line, its words)."""
+    words = line.lower().encode().split()
+    h = xxhash.xxh64_intdigest(DIGITS.sub(b"0", b" ".join(words)))
+    return (h - (1 << 64) if h >> 63 else h), len(words)
 
 
-def line_hash(line: Column) -> Column:
-    """Hash of a normalised line."""
-    low = F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "), r"[0-9]+", "0")))
-    return F.xxhash64(low)
+def lines_column(text: Column) -> Column:
+    """Hashes and word counts of the lines that have a word, as two arrays."""
+    @F.pandas_udf("h array<long>, w array<int>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        found = [[f for f in map(line_facts, t.split("\n")) if f[1]] for t in texts]
+        return pd.DataFrame({"h": [np.array([h for h, _ in f], dtype=np.int64) for f in found],
+                             "w": [np.array([w for _, w in f], dtype=np.int32) for f in found]})
+
+    return run(text)
+
+
+def without_lines(text: Column, hashes: Column) -> Column:
+    """The text without the lines of these hashes; NULL hashes leave it as it is."""
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        def clean(t, g):
+            g = set(g)
+            return "\n".join(x for x in t.split("\n") if (f := line_facts(x))[1] == 0 or f[0] not in g)
 
+        return pd.Series([t if t is None or g is None else clean(t, g) for t, g in zip(texts, gone)], dtype=object)
 
-def _lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.struct(line_hash(x).alias("h"), _word_count(x).alias("w"))),
-                    lambda s: s["w"] > 0)
+    return run(text, hashes)
 
 
 def frequent_lines(docs: DataFrame, text_col: str, host_col: str, min_texts: int, max_share: float):
     """(per-text lines, frequent lines): tables keyed by ``_host`` and the text hashes ``_t1, _t2``."""
     text = text_or_empty(text_col)
     texts = docs.select(null_safe_key(host_col).alias("_host"), F.xxhash64(text).alias("_t1"), F.hash(text).alias("_t2"),
-                        _lines(text).alias("_lines"))
+                        lines_column(text).alias("_lines"))
     texts = materialize(texts.groupBy("_host", "_t1", "_t2").agg(F.first("_lines").alias("_lines")), "text-lines")
-    lines = texts.select("_host", "_t1", "_t2", F.explode("_lines").alias("l")).select("_host", "_t1", "_t2", "l.h", "l.w")
+    lines = (texts.select("_host", "_t1", "_t2", F.explode(F.arrays_zip("_lines.h", "_lines.w")).alias("l"))
+             .select("_host", "_t1", "_t2", "l.h", "l.w"))
     hosts = texts.groupBy("_host").agg(F.count(F.lit(1)).alias("n_host"))
-    held = (texts.select("_host", F.explode(F.array_distinct(F.transform("_lines", lambda s: s["h"]))).alias("h"))
+    held = (texts.select("_host", F.explode(F.array_distinct("_lines.h")).alias("h"))
             .groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min_texts))
     often = held.join(hosts, "_host").where(F.col("n_texts") > F.col("n_host") * max_share).select("_host", "h")
     return lines, materialize(often, "frequent-lines")
@@ -140,11 +157,10 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     out = F.coalesce(F.col("g_gone"), F.lit(0))
     left = f["n_words"] - out
     depleted = (out > 0) & ((left < min_words) | (2 * left < f["n_words"]))
-    keep_line = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("g_hashes", line_hash(x)) | (_word_count(x) == 0))
     quality = F.struct(f["n_words"].alias("n_words"), f["word_chars"].alias("word_chars"), f["n_symbols"].alias("n_symbols"),
                        f["n_dup_lines"].alias("n_dup_lines"), f["n_repeat_words"].alias("n_repeat_words"),
                        failed.alias("base_failed"), out.alias("n_removed_words"),
-                       F.when(F.col("g_hashes").isNull(), F.col(text_col)).otherwise(F.array_join(keep_line, "\n")).alias("clean_text"),
+                       without_lines(F.col(text_col), F.col("g_hashes")).alias("clean_text"),
                        (~failed & ~depleted).alias("kept"))
     return rows.select(*docs.columns, quality.alias("quality"))
 
