@@ -39,6 +39,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SPECIAL = "<|endoftext|>"
 SPECIAL_ID = 50256
 END_ID = 2
+SCALES = (1.0, 0.8, 0.5, 0.2, 0.05)
 
 
 class Ids:
@@ -173,24 +174,33 @@ def best_fit_rest(need: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
         out.append((tuple(sorted(conf.items(), reverse=True)), times))
 
 
+def rounded(x: dict[tuple, float], need: np.ndarray, capacity: int, scale: float) -> list[tuple[tuple, int]]:
+    """Whole numbers of the full configurations of ``scale`` times ``x``, and best fit for the rest."""
+    left, out = need.copy(), []
+    for conf, v in sorted(x.items(), key=lambda e: (-e[1], e[0])):
+        times = min([int(v * scale), *(int(left[k]) // a for k, a in conf)])
+        if times and sum(k * a for k, a in conf) == capacity:  # what leaves room is left to best fit
+            for k, a in conf:
+                left[k] -= a * times
+            out.append((conf, times))
+    return out + best_fit_rest(left, capacity)
+
+
 def plan(hist: dict[int, int], capacity: int, rounds: int = 300, eta: float = 4.0) -> list[tuple[tuple, int]]:
-    """Configurations and how many sequences use each; together they hold every piece exactly."""
-    left = np.zeros(capacity + 1, dtype=np.int64)
+    """Configurations and how many sequences use each; together they hold every piece exactly.
+
+    Rounding down strands lengths whose partners are used up, so the fractional solution is rounded
+    at several scales and the plan of fewest sequences is taken.
+    """
+    need = np.zeros(capacity + 1, dtype=np.int64)
     for k, v in hist.items():
-        left[k] = v
-    out = []
-    if left[capacity]:
-        out.append((((capacity, 1),), int(left[capacity])))
-        left[capacity] = 0
-    if left.any():
-        for conf, x in sorted(multiplicative_weights(left, capacity, rounds, eta).items(), key=lambda e: (-e[1], e[0])):
-            times = min([int(x), *(int(left[k]) // a for k, a in conf)])
-            if times and sum(k * a for k, a in conf) == capacity:  # only full ones: the rest is left to best fit
-                for k, a in conf:
-                    left[k] -= a * times
-                out.append((conf, times))
-        out += best_fit_rest(left, capacity)
-    return out
+        need[k] = v
+    whole = [(((capacity, 1),), int(need[capacity]))] if need[capacity] else []
+    need[capacity] = 0
+    if not need.any():
+        return whole
+    x = multiplicative_weights(need, capacity, rounds, eta)
+    return whole + min((rounded(x, need, capacity, s) for s in SCALES), key=lambda p: sum(t for _, t in p))
 
 
 def placement(plan_rows: list[tuple[tuple, int]], capacity: int) -> dict[int, tuple]:

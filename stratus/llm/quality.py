@@ -9,7 +9,7 @@ weak labels; its score generalises beyond the labellers.
 
 Scale.  Vote patterns are counted over all documents by a partial aggregate;
 at most 3^labellers counts reach the driver.  The scorer is fitted on at most
-``sample_rows`` texts of smallest text hash (a documented bound), and scores
+``sample_rows`` distinct texts of smallest hash (a documented bound), and scores
 every whole text in one pass.
 
 Defined results: a NULL text is empty; the empty text is scored like any
@@ -37,19 +37,20 @@ SYMBOLS = re.compile(r"[#*$%&|<>]")
 END = re.compile(r"[.!?:;\"')\]]\s*$")
 
 
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
 def facts(text: str) -> dict:
     words = text.split()
     lines = [x.strip() for x in text.split("\n") if x.strip()]
-    n = max(1, len(words))
-    letters = sum(map(str.isalpha, text))
-    solid = max(1, len(text) - sum(map(str.isspace, text)))
-    grams = list(zip(*(words[i:] for i in range(4))))
-    return {"n": len(words), "length": sum(map(len, words)) / n, "symbols": len(SYMBOLS.findall(text)) / n,
+    n, solid = max(1, len(words)), max(1, sum(map(len, words)))
+    counts, pairs = Counter(words), set(zip(words, words[1:]))
+    return {"n": len(words), "length": solid / n, "symbols": len(SYMBOLS.findall(text)) / n,
             "dup_lines": 1 - len(set(lines)) / max(1, len(lines)), "lines": len(lines),
-            "ended": sum(bool(END.search(x)) for x in lines) / max(1, len(lines)), "letters": letters / solid,
-            "distinct": len(set(words)) / n, "short": sum(len(w) <= 3 for w in words) / n,
-            "repeats": 1 - len(set(grams)) / max(1, len(grams)),
-            "top": max(Counter(words).values(), default=0) / n}
+            "ended": sum(bool(END.search(x[-3:])) for x in lines) / max(1, len(lines)),
+            "letters": sum(map(len, LETTERS.findall(text))) / solid, "distinct": len(counts) / n,
+            "short": sum(c for w, c in counts.items() if len(w) <= 3) / n,
+            "repeats": 1 - len(pairs) / max(1, len(words) - 1), "top": max(counts.values(), default=0) / n}
 
 
 def votes(f: dict) -> str:
@@ -65,7 +66,7 @@ def votes(f: dict) -> str:
         rule(f["ended"] >= 0.6, f["lines"] > 0 and f["ended"] < 0.25),
         rule(f["letters"] >= 0.9, f["letters"] < 0.75),
         rule(f["short"] >= 0.15, f["n"] >= 20 and f["short"] < 0.05),
-        rule(f["n"] >= 20 and f["repeats"] < 0.05, f["repeats"] > 0.3),
+        rule(f["n"] >= 20 and f["repeats"] < 0.35, f["repeats"] > 0.6),
         rule(f["n"] >= 20 and f["top"] < 0.15, f["n"] >= 20 and f["top"] > 0.25),
     ))
 
@@ -97,21 +98,21 @@ def label_model(patterns: dict[str, int], rounds: int = 200) -> dict:
     return {"prior": prior, "good": good.tolist(), "bad": bad.tolist(), "posterior": dict(zip(keys, post.tolist()))}
 
 
-def features(text: str) -> np.ndarray:
+def features(text: str, f: dict) -> np.ndarray:
     """Hashed features: buckets of the text's facts, and the shapes of its words with their shares."""
-    f = facts(text)
     out = [f"{k}:{int(min(v, 1) * 20)}".encode() for k, v in f.items() if k not in ("n", "length", "lines")]
     out += [f"n:{f['n'].bit_length()}".encode(), f"len:{int(f['length'])}".encode(), f"lines:{f['lines'].bit_length()}".encode()]
-    shapes = Counter(re.sub(r"[^\W\d_]+", "a", w)[:6] for w in text.split())
+    shapes = Counter(LETTERS.sub("a", text).split())
     n = max(1, f["n"])
-    out += [f"shape:{s}:{int(10 * c / n)}".encode() for s, c in shapes.items()]
+    out += [f"shape:{s[:6]}:{int(10 * c / n)}".encode() for s, c in shapes.items()]
     return hashed(out)
 
 
 def facts_column(text: Column) -> Column:
     @F.pandas_udf("votes string, ids binary")
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(votes(facts(t)), features(t).tobytes()) for t in texts], columns=["votes", "ids"])
+        both = [(f := facts(t), features(t, f)) for t in texts]
+        return pd.DataFrame([(votes(f), ids.tobytes()) for f, ids in both], columns=["votes", "ids"])
 
     return run(text)
 
@@ -129,7 +130,9 @@ def classify(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_
     spark, text = docs.sparkSession, text_or_empty(text_col)
     counts = docs.select(votes_column(text).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()
     model = label_model({r["v"]: r["n"] for r in counts})
-    texts = docs.select(text.alias("t"), F.xxhash64(text).alias("h")).orderBy("h", F.length("t")).limit(sample_rows)
+    hashed_texts = docs.select(F.xxhash64(text).alias("h"), text.alias("t"))
+    last = hashed_texts.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    texts = hashed_texts.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first("t").alias("t"))
     rows = texts.select(facts_column(F.col("t")).alias("f")).select("f.*").collect()
     target = np.array([model["posterior"][r["votes"]] for r in rows])
     weights, bias = fit([np.frombuffer(r["ids"], dtype=np.int32) for r in rows], target, l1)
@@ -141,7 +144,8 @@ def classify(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_
         ids, values, b, posterior = sent.value
         full = np.zeros(DIMENSIONS)
         full[ids] = values
-        return pd.DataFrame([(posterior[votes(facts(t))], score(full, b, features(t))) for t in batch],
+        both = [(f := facts(t), features(t, f)) for t in batch]
+        return pd.DataFrame([(posterior[votes(f)], score(full, b, x)) for f, x in both],
                             columns=["weak_label", "score"], dtype="float64")
 
     scored = docs.withColumn("quality", run(text))
