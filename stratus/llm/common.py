@@ -34,6 +34,25 @@ def worker_object(key, build):
     return store[key]
 
 
+#: Most rows and bytes of texts that a Python worker holds at a time.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches bounded for whole texts.
+
+    The default of 10,000 rows and 64 MB a batch leaves each Python worker with several hundred
+    megabytes that it never returns.  Smaller settings of the session stay.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = str(conf.get(key, "0")).lower().rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty
+from .common import ship, small_batches, table, text_or_empty
 
 ship(__name__)
 
@@ -285,7 +285,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     columns = [leak_column(text_or_empty(text_col), b, kind, similarity, target_recall, seed, min_words, docs.sparkSession)
                for b in item_blocks(benchmark, item_id, item_text, block_bytes)]
     none = F.array().cast(f"array<struct<item_id:{kind},distance:int,item_words:int,first_word:long,end_word:long>>")
-    return docs.withColumn(name, F.concat(*columns) if columns else none)
+    return small_batches(docs).withColumn(name, F.concat(*columns) if columns else none)
 
 
 def op5_benchmark_decontamination(spark, sf_dir):

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty, worker_object
+from .common import ship, small_batches, table, text_or_empty, worker_object
 
 ship(__name__)
 
@@ -179,7 +179,7 @@ def licence_column(text: Column) -> Column:
 
 def scan(docs: DataFrame, text_col: str = "text", name: str = "licence") -> DataFrame:
     """``docs`` with a struct of word count, base places, labels and score."""
-    return docs.withColumn(name, licence_column(text_or_empty(text_col)))
+    return small_batches(docs).withColumn(name, licence_column(text_or_empty(text_col)))
 
 
 def op4_license_scans(spark, sf_dir):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.materialize import materialize
-from .common import TOKENIZERS, ship, table, text_or_empty, vocabulary, worker_object
+from .common import TOKENIZERS, ship, small_batches, table, text_or_empty, vocabulary, worker_object
 
 ship(__name__)
 
@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: i
                     seen[n] += 1
             yield pd.DataFrame(out, columns=["doc", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
-    src = docs.select(F.col(id_col).cast("string").alias("doc"), text_or_empty(text_col).alias("text"))
+    src = small_batches(docs).select(F.col(id_col).cast("string").alias("doc"), text_or_empty(text_col).alias("text"))
     got = src.mapInPandas(run, "doc string, piece int, start long, length int, ids_crc32 long, part int, rank long")
     return got.withColumn("doc", F.col("doc").cast(docs.schema[id_col].dataType))
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty
+from .common import ship, small_batches, table, text_or_empty
 from .linear import DIMENSIONS, fit, hashed, score
 
 ship(__name__)
@@ -127,7 +127,7 @@ def votes_column(text: Column) -> Column:
 
 def classify(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, l1: float = L1) -> DataFrame:
     """``docs`` with weak_label (posterior that the text is good), score and kept (score >= 1/2)."""
-    spark, text = docs.sparkSession, text_or_empty(text_col)
+    spark, text = small_batches(docs).sparkSession, text_or_empty(text_col)
     counts = docs.select(votes_column(text).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()
     model = label_model({r["v"]: r["n"] for r in counts})
     hashed_texts = docs.select(F.xxhash64(text).alias("h"), text.alias("t"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.materialize import materialize
-from .common import fresh, null_safe_key, ship, table, text_or_empty
+from .common import fresh, null_safe_key, ship, small_batches, table, text_or_empty
 
 ship(__name__)
 
@@ -145,6 +145,7 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     A document is depleted when a line was removed and fewer than ``min_words`` words, or less than
     half of its words, are left.
     """
+    small_batches(docs)
     gone = materialize(removed(docs, text_col, host_col, min_texts, max_share), "removed-lines")
     host, t1, t2, facts = (fresh(docs, c) for c in ("_host_key", "_text_1", "_text_2", "_facts"))
     text = text_or_empty(text_col)

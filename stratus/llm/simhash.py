@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.materialize import materialize
-from .common import fresh, ship, table, text_or_empty
+from .common import fresh, ship, small_batches, table, text_or_empty
 from .components import components
 
 ship(__name__)
@@ -136,7 +136,7 @@ def hex_fingerprint(fp: Column) -> Column:
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
     """(doc, th, fp) per row: id, a hash of the text, and the fingerprint; written once."""
     text = text_or_empty(text_col)
-    return materialize(docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("th"),
+    return materialize(small_batches(docs).select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("th"),
                                    fingerprint_column(text, shingle_words).alias("fp")), "fingerprints")
 
 

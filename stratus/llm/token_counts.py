@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TOKENIZERS, ship, table, text_or_empty, vocabulary, worker_object
+from .common import TOKENIZERS, ship, small_batches, table, text_or_empty, vocabulary, worker_object
 
 ship(__name__)
 
@@ -141,7 +141,7 @@ def count_column(text: Column, path: str) -> Column:
 def token_counts(docs: DataFrame, text_col: str = "text", name: str = "tokens", vocab: str = "word_bpe_49k.json",
                  folder: str = TOKENIZERS) -> DataFrame:
     """``docs`` with a struct (n_words, n_tokens) of each whole text."""
-    return docs.withColumn(name, count_column(text_or_empty(text_col), vocabulary(vocab, folder)))
+    return small_batches(docs).withColumn(name, count_column(text_or_empty(text_col), vocabulary(vocab, folder)))
 
 
 def op7_token_counts(spark, sf_dir):

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty
+from .common import ship, small_batches, table, text_or_empty
 from .linear import DIMENSIONS, fit, hashed, score
 
 ship(__name__)
@@ -111,6 +111,7 @@ def score_column(text: Column, weights: np.ndarray, bias: float, spark) -> Colum
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              sample_rows: int = SAMPLE_ROWS, l1: float = L1, pair_weight: float = PAIR_WEIGHT) -> DataFrame:
     """``docs`` with held_out, score and predicted."""
+    small_batches(docs)
     weights, bias = train(docs, labels, id_col, text_col, label_col, sample_rows, l1, pair_weight)
     scored = docs.withColumns({"held_out": held_out(id_col),
                                "score": score_column(text_or_empty(text_col), weights, bias, docs.sparkSession)})
