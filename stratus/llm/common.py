@@ -47,8 +47,8 @@ def small_batches(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = str(conf.get(key, "0")).lower().rstrip("b")
-        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+        now = conf.get(key).lower().rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
             conf.set(key, str(most))
     return df
 
