@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.materialize import materialize
-from .common import fresh, ship, small_batches, table, text_or_empty
+from .common import fresh, null_safe_key, ship, small_batches, table, text_or_empty
 from .components import components
 
 ship(__name__)
@@ -173,11 +173,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     prints = fingerprints(docs, id_col, text_col, shingle_words)
     kept = classes(prints, max_bits, bucket).select(
-        F.col("root.doc").alias("_doc"), F.col("root.th").alias("_th")).distinct()
-    th = fresh(docs, "_th_key")
-    rows = docs.withColumn(th, F.xxhash64(F.col(text_col)))
-    rows = rows.join(kept, F.col(id_col).eqNullSafe(kept["_doc"]) & (F.col(th) == kept["_th"]), "left_semi")
-    return rows.dropDuplicates([id_col, th]).select(*docs.columns)
+        null_safe_key("root.doc").alias("_k"), F.col("root.th").alias("_th")).distinct()
+    key, th = fresh(docs, "_id_key"), fresh(docs, "_text_key")
+    # repeated rows first, combined before the one shuffle of the texts; the semi join reuses its partitioning
+    rows = docs.withColumns({key: null_safe_key(id_col), th: F.xxhash64(F.col(text_col))}).dropDuplicates([key, th])
+    rows = rows.join(kept, (F.col(key) == kept["_k"]) & (F.col(th) == kept["_th"]), "left_semi")
+    return rows.select(*docs.columns)
 
 
 def op8_simhash_near_dedup(spark, sf_dir):
