@@ -154,10 +154,10 @@ def b_condition_rows(spark, sf):
 
 
 @register("b16_current_conditions", with_views("""
-SELECT CAST(trunc(arg_max(tempC, date_time)) AS INTEGER) AS temperature, CAST(25 AS INTEGER) AS feels_like,
-       CAST(arg_max(humidity, date_time) AS INTEGER) AS humidity, CAST(arg_max(pressure, date_time) AS INTEGER) AS pressure,
+SELECT CAST(trunc(arg_max(tempC, date_time)) AS INTEGER) AS temperature, CAST(trunc(arg_max(FeelsLikeC, date_time)) AS INTEGER) AS feels_like,
+       CAST(trunc(arg_max(humidity, date_time)) AS INTEGER) AS humidity, CAST(arg_max(pressure, date_time) AS INTEGER) AS pressure,
        CAST(trunc(arg_max(windspeedKmph, date_time)) AS INTEGER) AS wind_speed, CAST(180 AS INTEGER) AS wind_dir,
-       CAST(20 AS INTEGER) AS cloud_cover, CAST(10 AS INTEGER) AS visibility, CAST(15 AS INTEGER) AS dew_point,
+       CAST(trunc(arg_max(cloudcover, date_time)) AS INTEGER) AS cloud_cover, CAST(10 AS INTEGER) AS visibility, CAST(15 AS INTEGER) AS dew_point,
        arg_max(precipMM, date_time) AS precipitation, CAST(5 AS INTEGER) AS uv_index, CAST(30 AS INTEGER) AS max_temp,
        CAST(20 AS INTEGER) AS min_temp, strftime(max(date_time), '%Y-%m-%d %H:%M:%S') AS timestamp
 FROM obs_hourly""", "obs_hourly"))
@@ -284,7 +284,7 @@ def e2_null_counts(spark, sf):
 # ------------------------------------------------------------ statistics ---
 
 @register("e1_overview", with_views("""
-SELECT count(*) AS n_rows, CAST(6 AS INTEGER) AS n_columns, min(date_time) AS start, max(date_time) AS "end",
+SELECT count(*) AS n_rows, CAST(8 AS INTEGER) AS n_columns, min(date_time) AS start, max(date_time) AS "end",
        CAST(floor((epoch(max(date_time)) - epoch(min(date_time))) / 86400) AS BIGINT) AS duration_days
 FROM obs_hourly""", "obs_hourly"))
 def e1_overview(spark, sf):
@@ -298,7 +298,7 @@ def e3_duplicates(spark, sf):
     return eda.duplicate_count(A.obs_rows(spark, sf).select("location", "date_time", "tempC", "precipMM", "humidity"))
 
 
-_DESCRIBE_COLS = ("tempC", "humidity", "pressure", "windspeedKmph", "precipMM")
+_DESCRIBE_COLS = ("tempC", "FeelsLikeC", "humidity", "pressure", "windspeedKmph", "precipMM", "cloudcover")
 _DESCRIBE_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS count, {E(f'avg({c})')} AS mean, {E(f'stddev_samp({c})')} AS std, "
     f"{E(f'min({c})')} AS min, {E(f'quantile_cont({c}, 0.25)')} AS p25, {E(f'quantile_cont({c}, 0.5)')} AS p50, "
@@ -338,14 +338,14 @@ def e7_corr(spark, sf):
     return round_doubles(eda.correlations_with(A.obs_daily(spark, sf), "tempC", _DAILY_NUM), 6)
 
 
-_MATRIX_COLS = ("tempC", "humidity", "pressure", "windspeedKmph", "precipMM")
+_MATRIX_COLS = ("tempC", "FeelsLikeC", "humidity", "pressure", "windspeedKmph", "precipMM", "cloudcover")
 _PAIRS = [(_MATRIX_COLS[i], _MATRIX_COLS[j]) for i in range(len(_MATRIX_COLS)) for j in range(i)]
 
 
 @register("e8_correlation_matrix", with_views(" UNION ALL ".join(
-    f"SELECT '{x}' AS x, '{y}' AS y, {R(_sql_corr(x, y), 6)} AS r FROM obs_daily" for x, y in _PAIRS), "obs_daily"))
+    f"SELECT '{x}' AS x, '{y}' AS y, {R(_sql_corr(x, y), 6)} AS r FROM obs_hourly" for x, y in _PAIRS), "obs_hourly"))
 def e8_matrix(spark, sf):
-    return round_doubles(eda.correlation_matrix(A.obs_daily(spark, sf), _MATRIX_COLS), 6)
+    return round_doubles(eda.correlation_matrix(A.obs_hourly(spark, sf), _MATRIX_COLS), 6)
 
 
 @register("e9_monthly_temperature", with_views(f"""
@@ -390,10 +390,11 @@ def _sql_histogram(source: str, column: str, bins: int) -> str:
 , src AS (SELECT CAST({column} AS DOUBLE) AS x FROM {source}),
 b AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM src),
-counts AS (SELECT least(CAST(floor((x - lo) * {bins} / (hi - lo)) AS INTEGER), {bins - 1}) AS bin, count(*) AS n
-           FROM src, b GROUP BY 1),
-edges AS (SELECT CAST(i AS INTEGER) AS bin, lo + i * (hi - lo) / {bins} AS lower, lo + (i + 1) * (hi - lo) / {bins} AS upper
-          FROM b, range({bins}) t(i))
+edges AS (SELECT CAST(i AS INTEGER) AS bin, i * ((hi - lo) / {bins}) + lo AS lower,
+                 CASE WHEN i = {bins - 1} THEN hi ELSE (i + 1) * ((hi - lo) / {bins}) + lo END AS upper
+          FROM b, range({bins}) t(i)),
+counts AS (SELECT bin, count(*) AS n FROM src JOIN edges
+           ON x >= lower AND (x < upper OR bin = {bins - 1}) GROUP BY 1)
 SELECT edges.bin, {R('lower', 6)} AS lower, {R('upper', 6)} AS upper, coalesce(n, 0) AS count
 FROM edges LEFT JOIN counts USING (bin)"""
 
@@ -460,6 +461,7 @@ _BACKFILL_SQL = """
 filled AS (
   SELECT f.created_at, f.forecast_for, f.horizon_hours, f.temp_predicted,
          CASE WHEN f.forecast_for <= cutoff.t AND o.date_time IS NOT NULL THEN CAST(o.tempC AS DECIMAL(5,2)) END AS temp_actual,
+         CASE WHEN f.forecast_for <= cutoff.t AND o.date_time IS NOT NULL THEN CAST(o.FeelsLikeC AS DECIMAL(5,2)) END AS feels_actual,
          CASE WHEN f.forecast_for <= cutoff.t AND o.date_time IS NOT NULL THEN coalesce(o.precipMM > 0.1, false) END AS rained_actual,
          CASE WHEN f.forecast_for <= cutoff.t AND o.date_time IS NOT NULL THEN f.forecast_for END AS evaluated_at
   FROM forecasts f CROSS JOIN cutoff LEFT JOIN obs_hourly o ON f.forecast_for = o.date_time),
@@ -469,7 +471,7 @@ errs AS (SELECT *, CAST(temp_actual - CAST(temp_predicted AS DECIMAL(5,2)) AS DE
 
 def _backfilled(spark, sf):
     h = A.obs_hourly(spark, sf)
-    return monitor.backfill_actuals(A.persistence_forecasts(h), h)
+    return monitor.backfill_actuals(A.persistence_forecasts(h), h, feels="FeelsLikeC")
 
 
 @register("e19_forecast_accuracy", with_views(_BACKFILL_SQL + f"""
@@ -595,11 +597,11 @@ def f13_residuals(spark, sf):
 # ------------------------------------------------------------- monitoring ---
 
 @register("h1_backfill_actuals", with_views(_BACKFILL_SQL + """
-SELECT created_at, forecast_for, horizon_hours, temp_actual, rained_actual, evaluated_at, temp_error FROM errs""",
+SELECT created_at, forecast_for, horizon_hours, temp_actual, feels_actual, rained_actual, evaluated_at, temp_error FROM errs""",
     "forecasts"))
 def h1_backfill(spark, sf):
     return _backfilled(spark, sf).select("created_at", "forecast_for", "horizon_hours", "temp_actual",
-                                         "rained_actual", "evaluated_at", "temp_error")
+                                         "feels_actual", "rained_actual", "evaluated_at", "temp_error")
 
 
 @register("h3_weekly_drift", with_views(_BACKFILL_SQL + f"""
@@ -607,7 +609,8 @@ def h1_backfill(spark, sf):
   SELECT horizon_hours, CAST(date_trunc('week', forecast_for) AS DATE) + 6 AS week,
          avg(abs(CAST(temp_error AS DOUBLE))) AS mae, count(*) AS n
   FROM errs WHERE temp_error IS NOT NULL GROUP BY 1, 2),
-lagged AS (SELECT *, lag(mae) OVER (PARTITION BY horizon_hours ORDER BY week) AS prev_mae FROM weekly)
+lagged AS (SELECT *, CASE WHEN week - lag(week) OVER (PARTITION BY horizon_hours ORDER BY week) = 7
+                         THEN lag(mae) OVER (PARTITION BY horizon_hours ORDER BY week) END AS prev_mae FROM weekly)
 SELECT horizon_hours, week, {R('mae', 6)} AS mae, n, {R('prev_mae', 6)} AS prev_mae,
        {R('(mae - prev_mae) / NULLIF(prev_mae, 0)', 6)} AS change,
        mae > 20.0 OR coalesce((mae - prev_mae) / NULLIF(prev_mae, 0) > 0.1, false) AS drift

@@ -54,13 +54,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _true(c: Column) -> Column:
-    """JavaScript/pandas comparison semantics: a missing value compares false."""
-    return F.coalesce(c, F.lit(False))
+def _above(c, limit) -> Column:
+    """``c > limit`` where a missing value, NULL or NaN, compares false (NaN is the largest value to Spark)."""
+    x = _col(c)
+    return F.coalesce((x > F.lit(limit)) & ~F.isnan(x.cast("double")), F.lit(False))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """``df`` with NaN as NULL in every floating-point column: both are missing, as in pandas."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
 def rain_label(precip="precipMM", threshold: float = RAIN_TARGET_THRESHOLD) -> Column:
-    return _true(_col(precip) > F.lit(threshold)).cast("int")
+    return _above(precip, threshold).cast("int")
 
 
 def interactions(df: DataFrame, pairs=INTERACTIONS) -> DataFrame:
@@ -79,34 +86,34 @@ def interactions(df: DataFrame, pairs=INTERACTIONS) -> DataFrame:
 def condition_label(temp="tempC", humidity="humidity", rain="precipMM") -> Column:
     """Ordered dashboard rule; the first matching condition wins."""
     rainy, cloudy, hot, warm, clear = CONDITION_LABELS
-    return (F.when(_true(_col(rain) > RAIN_CONDITION_THRESHOLD), rainy)
-            .when(_true(_col(humidity) > CLOUDY_HUMIDITY), cloudy)
-            .when(_true(_col(temp) > HOT_TEMP), hot)
-            .when(_true(_col(temp) > WARM_TEMP), warm)
+    return (F.when(_above(rain, RAIN_CONDITION_THRESHOLD), rainy)
+            .when(_above(humidity, CLOUDY_HUMIDITY), cloudy)
+            .when(_above(temp, HOT_TEMP), hot)
+            .when(_above(temp, WARM_TEMP), warm)
             .otherwise(clear))
 
 
 def rain_risk(prob) -> Column:
     """True when the rain probability (percent) is strictly above 40."""
-    return _true(_col(prob) > RAIN_RISK_PCT)
+    return _above(prob, RAIN_RISK_PCT)
 
 
 def hourly_icon(prob, temp) -> Column:
     return (F.when(rain_risk(prob), "rain")
-            .when(_true(_col(temp) > HOURLY_SUN_TEMP), "sun")
+            .when(_above(temp, HOURLY_SUN_TEMP), "sun")
             .otherwise("partly_sunny"))
 
 
 def rain_bucket(avg_rain) -> Column:
-    return (F.when(_true(_col(avg_rain) > RAIN_BUCKET_HIGH), "high")
-            .when(_true(_col(avg_rain) > RAIN_BUCKET_MID), "medium")
+    return (F.when(_above(avg_rain, RAIN_BUCKET_HIGH), "high")
+            .when(_above(avg_rain, RAIN_BUCKET_MID), "medium")
             .otherwise("low"))
 
 
 def rain_banner(precip) -> Column:
     """'no_rain' when exactly 0, 'rain' when positive, NULL (no banner) otherwise."""
     p = _col(precip)
-    return F.when(p == 0, "no_rain").when(p > 0, "rain")
+    return F.when(p == 0, "no_rain").when(_above(p, 0), "rain")
 
 
 def forecast_label(position, horizon) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import MONSOON_MONTHS, month_name, week_ending_sunday
 from ..functions.rounding import half_even, half_up
-from ..functions.rules import numeric_columns
+from ..functions.rules import nan_to_null, numeric_columns
 from .quantiles import exact_quantiles
 
 # Fixed values that must equal the reference's results.
@@ -113,6 +113,7 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS, digits: int = 2,
 
 def rain_stats(df: DataFrame, precip: str = "precipMM") -> DataFrame:
     """E5: hours with rain (> 0) and share, heavy hours (> 1), max, mean."""
+    df = nan_to_null(df)
     p = F.col(precip)
     return df.agg(F.count_if(p > 0).alias("rain_hours"),
                   F.avg(F.coalesce(p > 0, F.lit(False)).cast("int")).alias("rain_share"),
@@ -122,6 +123,7 @@ def rain_stats(df: DataFrame, precip: str = "precipMM") -> DataFrame:
 
 def monsoon_share(df: DataFrame, precip: str = "precipMM", ts: str = "date_time") -> DataFrame:
     """Percent of all rain that fell in monsoon months."""
+    df = nan_to_null(df)
     p = F.col(precip)
     monsoon = F.coalesce(F.sum(F.when(F.month(ts).isin(*MONSOON_MONTHS), p)), F.lit(0.0))
     return df.agg((F.try_divide(monsoon, F.sum(p)) * 100).alias("monsoon_share_pct"))
@@ -129,6 +131,7 @@ def monsoon_share(df: DataFrame, precip: str = "precipMM", ts: str = "date_time"
 
 def correlations_with(df: DataFrame, target: str = "tempC", columns=None) -> DataFrame:
     """Pearson r of every numeric column against ``target`` (long form)."""
+    df = nan_to_null(df)
     cols = list(columns) if columns else numeric_columns(df)
     wide = df.agg(*[_pairwise_corr(c, target).alias(c) for c in cols])
     return _unpivot(wide, cols, "column", "r", "double")
@@ -145,6 +148,7 @@ def top_correlations(df: DataFrame, target: str = "tempC", k: int = TOP_CORRELAT
 
 def correlation_matrix(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
     """Strict lower triangle of the correlation matrix as (x, y, r)."""
+    df = nan_to_null(df)
     present = [c for c in columns if c in df.columns]
     pairs = [(present[i], present[j]) for j, i in combinations(range(len(present)), 2)]
     wide = df.agg(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"),
@@ -154,6 +158,7 @@ def correlation_matrix(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
 
 def monthly_temperature(df: DataFrame, temp: str = "tempC", ts: str = "date_time") -> DataFrame:
     """Per calendar month mean/min/max temperature, rounded half-even."""
+    df = nan_to_null(df)
     m = F.month(ts)
     return (df.filter(m.isNotNull()).groupBy(m.alias("month"))
             .agg(half_even(F.avg(temp), 2).alias("mean"), half_even(F.min(temp), 2).alias("min"),
@@ -164,6 +169,7 @@ def monthly_temperature(df: DataFrame, temp: str = "tempC", ts: str = "date_time
 def monthly_means(df: DataFrame, columns=("tempC", "humidity", "precipMM", "pressure"),
                   ts: str = "date_time") -> DataFrame:
     """Per calendar month means of the given columns."""
+    df = nan_to_null(df)
     m = F.month(ts)
     present = [c for c in columns if c in df.columns]
     return (df.filter(m.isNotNull()).groupBy(m.alias("month"))
@@ -174,6 +180,7 @@ def weekly_resample(df: DataFrame, ts: str = "date_time", temp: str = "tempC", h
                     precip: str = "precipMM") -> DataFrame:
     """Weeks ending Sunday, labelled by that Sunday; every week between
     the first and last is emitted (means NULL, rain sum 0 when empty)."""
+    df = nan_to_null(df)
     week = week_ending_sunday(ts)
     weekly = df.filter(F.col(ts).isNotNull()).groupBy(week.alias("week")).agg(
         F.avg(temp).alias("avg_temp"), F.avg(humidity).alias("avg_humidity"), F.sum(precip).alias("_rain"))
@@ -186,6 +193,7 @@ def weekly_resample(df: DataFrame, ts: str = "date_time", temp: str = "tempC", h
 
 def hourly_profile(df: DataFrame, temp: str = "tempC", ts: str = "date_time") -> DataFrame:
     """Hour-of-day mean and sample std, with the +-1 std band."""
+    df = nan_to_null(df)
     h = F.hour(ts)
     prof = df.filter(h.isNotNull()).groupBy(h.alias("hour")).agg(
         F.avg(temp).alias("mean"), F.stddev_samp(temp).alias("std"))
@@ -203,12 +211,16 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS, where=None
     mn, mx = src.agg(F.min("x")).scalar(), src.agg(F.max("x")).scalar()
     lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
     hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
-    raw_bin = F.floor((F.col("x") - lo) * bins / (hi - lo)).cast("int")
-    counts = src.groupBy(F.least(raw_bin, F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    step = (hi - lo) / bins
+    guess = F.least(F.floor((F.col("x") - lo) * (bins / (hi - lo))).cast("int"), F.lit(bins - 1))
+    # as numpy does, the computed edges decide where the quotient was rounded across one
+    at = (F.when(F.col("x") < F.col("g") * step + lo, F.col("g") - 1)
+          .when((F.col("x") >= (F.col("g") + 1) * step + lo) & (F.col("g") < bins - 1), F.col("g") + 1).otherwise(F.col("g")))
+    counts = src.withColumn("g", guess).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edges = df.sparkSession.range(bins).select(
         F.col("id").cast("int").alias("bin"),
-        (lo + F.col("id") * (hi - lo) / bins).alias("lower"),
-        (lo + (F.col("id") + 1) * (hi - lo) / bins).alias("upper"))
+        (F.col("id") * step + lo).alias("lower"),
+        F.when(F.col("id") == bins - 1, hi).otherwise((F.col("id") + 1) * step + lo).alias("upper"))
     return (edges.join(counts, "bin", "left")
             .select("bin", "lower", "upper", F.coalesce("count", F.lit(0)).alias("count")))
 

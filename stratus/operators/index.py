@@ -110,8 +110,8 @@ def chrono_split(indexed: DataFrame, fraction: float = 0.8, key=None, index_col:
 
 
 def latest(df: DataFrame, ts: str = "date_time", key=None, tiebreak=None) -> DataFrame:
-    """Last row (by time, then tie-break) per series, via ``max_by`` - a
-    partial aggregate, no sort of the data."""
+    """Last row (by time, then tie-break) per series, via ``max_by``: only one row per series and task
+    is shuffled.  With a key the partial aggregate sorts each task's rows by the key."""
     keys = _as_list(key)
     ordering = F.struct(*[F.col(c) for c in [ts] + _as_list(tiebreak)])
     payload = [c for c in df.columns if c not in keys]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_ending_sunday
-from ..functions.rules import rain_label
+from ..functions.rules import nan_to_null, rain_label
 from .index import _as_list
 
 # Decimal shape of the forecast table's temperature columns.
@@ -21,13 +21,15 @@ def backfill_actuals(forecasts: DataFrame, observations: DataFrame, ts: str = "d
 
     Only forecasts whose target time is at or before ``as_of`` (default: the
     latest observation) are evaluated; the rest keep NULL actuals.  This is an
-    equi-join on (key, time): each side is shuffled once on that key, and AQE
-    splits a skewed key.
+    equi-join on (key, time): each side is shuffled once on that key.  Several
+    observations of one time are averaged; without a ``feels`` column
+    ``feels_actual`` is NULL.
     """
     keys = _as_list(key)
-    feels = feels if feels and feels in observations.columns else temp
-    obs = observations.select(*keys, F.col(ts).alias("_obs_ts"), F.col(temp).alias("_t"),
-                              F.col(feels).alias("_f"), rain_label(precip).alias("_r"))
+    felt = F.col(feels) if feels else F.lit(None).cast("double")
+    # one row per (key, time): a repeated observation must not repeat forecasts
+    obs = (nan_to_null(observations).groupBy(*keys, F.col(ts).alias("_obs_ts"))
+           .agg(F.avg(temp).alias("_t"), F.avg(felt).alias("_f"), F.max(rain_label(precip)).alias("_r")))
     cutoff = F.lit(as_of) if as_of is not None else observations.select(F.max(ts)).scalar()
     cond = [forecasts["forecast_for"] == obs["_obs_ts"]] + [forecasts[k] == obs[k] for k in keys]
     joined = forecasts.join(obs, cond, "left")
@@ -59,7 +61,9 @@ def weekly_drift(evaluated: DataFrame, mae_threshold: float, ts: str = "forecast
               .groupBy("horizon_hours", week_ending_sunday(ts).alias("week"))
               .agg(F.avg(F.abs(F.col("temp_error").cast("double"))).alias("mae"),
                    F.count(F.lit(1)).alias("n")))
-    prev = F.lag("mae").over(Window.partitionBy("horizon_hours").orderBy("week"))
+    weeks = Window.partitionBy("horizon_hours").orderBy("week")
+    # a gap in the weeks has no previous week
+    prev = F.when(F.date_diff("week", F.lag("week").over(weeks)) == 7, F.lag("mae").over(weeks))
     return (weekly.withColumn("prev_mae", prev)
             .withColumn("change", F.try_divide(F.col("mae") - F.col("prev_mae"), F.col("prev_mae")))
             .withColumn("drift", (F.col("mae") > mae_threshold)

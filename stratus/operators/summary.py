@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import dashboard_season, month_name
 from ..functions.rounding import half_even, half_up
+from ..functions.rules import nan_to_null
 
 
 def _month(ts):
@@ -21,6 +22,7 @@ def _month(ts):
 def api_monthly(df: DataFrame, ts: str = "date_time", temp: str = "tempC", humidity: str = "humidity",
                 precip: str = "precipMM", pressure: str = "pressure") -> DataFrame:
     """Monthly averages of the history endpoint, 2 dp half-even."""
+    df = nan_to_null(df)
     m = _month(ts)
     return (df.filter(m.isNotNull()).groupBy(m.alias("month"))
             .agg(half_even(F.avg(temp)).alias("avg_temp"), half_even(F.avg(humidity)).alias("avg_humidity"),
@@ -30,6 +32,7 @@ def api_monthly(df: DataFrame, ts: str = "date_time", temp: str = "tempC", humid
 def api_yearly(df: DataFrame, ts: str = "date_time", temp: str = "tempC", humidity: str = "humidity",
                precip: str = "precipMM") -> DataFrame:
     """Yearly average temperature, total rain, average humidity."""
+    df = nan_to_null(df)
     y = F.year(ts)
     return (df.filter(y.isNotNull()).groupBy(y.alias("year"))
             .agg(half_even(F.avg(temp)).alias("avg_temp"), half_even(F.sum(precip)).alias("total_rain"),
@@ -47,6 +50,7 @@ def monthly_weather_summary(history: DataFrame, ts: str = "recorded_at", temp: s
                             humidity: str = "humidity", precip: str = "precip_mm") -> DataFrame:
     """The ``monthly_weather_summary`` view, by (year, month), NULL
     groups kept, SQL half-up rounding, ordered."""
+    history = nan_to_null(history)
     return (history.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month"))
             .agg(F.count(F.lit(1)).alias("records"),
                  half_up(F.avg(temp), 2).alias("avg_temp"),
@@ -74,6 +78,7 @@ def forecast_accuracy(forecasts: DataFrame) -> DataFrame:
 def dashboard_stats(df: DataFrame, ts: str = "date_time", temp: str = "tempC", humidity: str = "humidity",
                     pressure: str = "pressure", precip: str = "precipMM") -> DataFrame:
     """Headline statistics of the dashboard."""
+    df = nan_to_null(df)
     fmt = "yyyy-MM-dd HH:mm:ss"
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -88,6 +93,7 @@ def dashboard_monthly(df: DataFrame, ts: str = "date_time", temp: str = "tempC",
                       precip: str = "precipMM", max_temp: str = "maxtempC", min_temp: str = "mintempC") -> DataFrame:
     """Dashboard month table at 1 dp; max/min are means of the daily
     max/min temperature columns."""
+    df = nan_to_null(df)
     m = _month(ts)
     aggs = [half_even(F.avg(temp), 1).alias("avg_temp"), half_even(F.avg(humidity), 1).alias("avg_humidity"),
             half_even(F.avg(precip), 1).alias("avg_rain")]
@@ -102,6 +108,7 @@ def dashboard_monthly(df: DataFrame, ts: str = "date_time", temp: str = "tempC",
 def seasonal_summary(df: DataFrame, ts: str = "date_time", temp: str = "tempC",
                      humidity: str = "humidity") -> DataFrame:
     """Per dashboard season, the unweighted mean of monthly means."""
+    df = nan_to_null(df)
     m = _month(ts)
     monthly = (df.filter(m.isNotNull()).groupBy(m.alias("month"))
                .agg(F.avg(temp).alias("t"), F.avg(humidity).alias("h")))

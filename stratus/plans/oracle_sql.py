@@ -7,17 +7,18 @@ DECIMAL(38,10) exactly as the Spark side does, so tie-breaking is identical.
 
 from __future__ import annotations
 
-from ..functions.calendar import MONTH_NAMES
 from ..sources.adapters import sql_half_even as E
 from ..sources.adapters import sql_half_up as R
 from ..sources.adapters import with_views
-from .features import LAGS, ROLLING_WINDOWS
 
-MONTH_ARRAY = "[" + ", ".join(f"'{m}'" for m in MONTH_NAMES) + "]"
+# Fixed values, stated here and not imported, so that the statements check the plans' own constants.
+MONTH_ARRAY = "['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec']"
+LAGS = (1, 3, 6, 12, 24, 48)
+ROLLING_WINDOWS = (3, 6, 12, 24)
 
 # Column types of the adapter views (what the generated SQL must round).
-HOURLY_TYPES = {"tempC": "double", "precipMM": "double", "humidity": "bigint", "pressure": "bigint",
-                "windspeedKmph": "double"}
+HOURLY_TYPES = {"tempC": "double", "precipMM": "double", "humidity": "double", "pressure": "bigint",
+                "windspeedKmph": "double", "cloudcover": "double", "FeelsLikeC": "double"}
 ROWS_TYPES = {"tempC": "double", "precipMM": "double", "humidity": "double"}
 
 

@@ -177,15 +177,21 @@ def save(models: dict, path: str) -> None:
         m.write().overwrite().save(f"{path.rstrip('/')}/{name}")
 
 
-def load(path: str, names=("temp", "feels", "rain")) -> dict:
+def _exists(path: str) -> bool:
+    spark = SparkSession.getActiveSession()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def load(path: str, names=("temp", "feels", "rain"), optional=("feels",)) -> dict:
+    """Fitted models by name.  A name in ``optional`` may be missing; any other failure is raised."""
     from pyspark.ml.classification import GBTClassificationModel
     from pyspark.ml.regression import GBTRegressionModel
     out = {}
     loaders = {"temp": GBTRegressionModel, "feels": GBTRegressionModel, "rain": GBTClassificationModel}
     for name in names:
-        try:
-            out[name] = loaders.get(name, PipelineModel).load(f"{path.rstrip('/')}/{name}")
-        except Exception:
-            if name != "feels":
-                raise
+        where = f"{path.rstrip('/')}/{name}"
+        if name in optional and not _exists(where):
+            continue
+        out[name] = loaders.get(name, PipelineModel).load(where)
     return out

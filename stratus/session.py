@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -81,10 +82,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-# About 64 MiB of (compressed) input per shuffle partition: decompressed and
-# shuffled this is a few hundred MB per task, which sorts in executor memory.
-DEFAULT_INPUT_BYTES_PER_PARTITION = 64 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 1_000_000
+# About 1 GiB of (compressed) input per shuffle partition: 100 TB gives some
+# 93,000 reducers, whose map statuses the driver can still hold; a partition
+# that does not fit in memory spills.
+DEFAULT_INPUT_BYTES_PER_PARTITION = 1024 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
 _UNKNOWN_SIZE = 1 << 62
 
 
@@ -107,7 +109,11 @@ def scale_shuffle_partitions(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_
         est = est if isinstance(est, int) else int(est.toString())
         if est < _UNKNOWN_SIZE:  # leaves without statistics report Long.MaxValue
             size += est
-    need = min(MAX_SHUFFLE_PARTITIONS, max(1, -(-size // bytes_per_partition)))
+    need = max(1, -(-size // bytes_per_partition))
+    if need > MAX_SHUFFLE_PARTITIONS:
+        warnings.warn(f"{need} shuffle partitions wanted for {size} bytes, {MAX_SHUFFLE_PARTITIONS} used: "
+                      "partitions are larger than asked for", stacklevel=2)
+        need = MAX_SHUFFLE_PARTITIONS
     current = shuffle_partitions(spark)
     if need > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(need))

@@ -35,13 +35,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _share(event_type: str):
+    """Share of events of one type: bounded, and the same at every scale."""
+    return F.avg((F.col("event_type") == event_type).cast("int"))
+
+
 def obs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
     return (ev.groupBy(hour_start("ts").alias("date_time"))
             .agg(half_up(F.avg("value"), 2).alias("tempC"),
-                 half_up(F.coalesce(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))),
-                                    F.lit(0.0)) / 100, 2).alias("precipMM"),
-                 F.least(F.count_distinct("user_id"), F.lit(100).cast("long")).alias("humidity"),
+                 half_up(F.greatest(_share("purchase") - 0.2, F.lit(0.0)) * 20, 2).alias("precipMM"),
+                 half_up(_share("view") * 100, 2).alias("humidity"),
+                 half_up(_share("click") * 100, 2).alias("cloudcover"),
+                 half_up((F.min("value") + F.max("value")) / 2, 2).alias("FeelsLikeC"),
                  F.count(F.lit(1)).alias("pressure"),
                  half_up(F.max("value"), 2).alias("windspeedKmph")))
 
@@ -102,8 +108,10 @@ def sql_half_even(expr: str, digits: int = 2) -> str:
 OBS_HOURLY_SQL = f"""
 SELECT date_trunc('hour', ts) AS date_time,
        {sql_half_up('avg(value)')} AS tempC,
-       {sql_half_up("coalesce(sum(value) FILTER (WHERE event_type = 'purchase'), 0.0) / 100")} AS precipMM,
-       least(count(DISTINCT user_id), 100) AS humidity,
+       {sql_half_up("greatest(avg(CAST(event_type = 'purchase' AS INTEGER)) - 0.2, 0.0) * 20")} AS precipMM,
+       {sql_half_up("avg(CAST(event_type = 'view' AS INTEGER)) * 100")} AS humidity,
+       {sql_half_up("avg(CAST(event_type = 'click' AS INTEGER)) * 100")} AS cloudcover,
+       {sql_half_up('(min(value) + max(value)) / 2')} AS FeelsLikeC,
        count(*) AS pressure,
        {sql_half_up('max(value)')} AS windspeedKmph
 FROM events GROUP BY 1

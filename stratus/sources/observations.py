@@ -28,14 +28,18 @@ def read_observations(spark: SparkSession, path: str, fmt: str = "csv", types: d
     """A1: typed observation table; the time column becomes ``timestamp_ntz``.
 
     CSV columns are read as text (no inference pass over the file) and cast
-    by *header name*, so a different column order cannot shift values.
+    by *header name*.  All files of a glob must have the same header in the
+    same order; a file that differs fails the read instead of shifting values.
     Unparseable numbers become NULL, like pandas' coercion to NaN.
     """
     if fmt == "csv":
-        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        header = spark.read.option("header", True).csv(path).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        df = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
         df = df.select(*[(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
     else:
         df = spark.read.format(fmt).load(path)
+        df = df.select(*[(F.col(c).cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
     if isinstance(df.schema[ts].dataType, T.StringType):
         df = df.withColumn(ts, F.to_timestamp_ntz(F.col(ts), F.lit(ts_format)))
     return df
@@ -48,11 +52,32 @@ def load_observations(spark: SparkSession, data_dir: str, engineered: str = "eng
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     eng = jvm.org.apache.hadoop.fs.Path(f"{data_dir.rstrip('/')}/{engineered}")
-    if eng.getFileSystem(conf).exists(eng):
-        return spark.read.parquet(eng.toString())
+    done = jvm.org.apache.hadoop.fs.Path(f"{eng.toString()}/_SUCCESS")
+    if eng.getFileSystem(conf).exists(done):  # a folder without the marker was never finished
+        df = spark.read.parquet(eng.toString())
+        order = jvm.org.apache.hadoop.fs.Path(column_list_path(eng.toString()))
+        if order.getFileSystem(conf).exists(order):
+            df = df.select(*read_column_list(spark, eng.toString()))
+        return df
     return read_observations(spark, f"{data_dir.rstrip('/')}/{raw}")
 
 
+def column_list_path(path: str) -> str:
+    return f"{path.rstrip('/')}.columns"
+
+
+def write_column_list(spark: SparkSession, columns, path: str) -> None:
+    """Column names in order, beside the table or the models they belong to: partitioned tables
+    come back with the partition columns last, and models know their inputs by position only."""
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "position int, name string")
+    rows.coalesce(1).write.mode("overwrite").json(column_list_path(path))
+
+
+def read_column_list(spark: SparkSession, path: str) -> list[str]:
+    rows = spark.read.schema("position int, name string").json(column_list_path(path))
+    return [r["name"] for r in rows.orderBy("position").collect()]
+
+
 def write_engineered(df: DataFrame, path: str, fmt: str = "parquet", partition_by=("year", "month"),
                      mode: str = "overwrite") -> None:
     """A3: engineered-table sink (Parquet by default, partitioned by calendar)."""
@@ -63,6 +88,7 @@ def write_engineered(df: DataFrame, path: str, fmt: str = "parquet", partition_b
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
+        write_column_list(df.sparkSession, df.columns, path)
         w.format(fmt).save(path)
 
 

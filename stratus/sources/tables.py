@@ -110,7 +110,7 @@ def _typed(df: DataFrame, schema: T.StructType, defaults: dict | None = None) ->
         if f.name in df.columns:
             c = F.col(f.name)
             if isinstance(f.dataType, T.IntegralType):
-                c = F.round(c.cast("double"))
+                c = F.round(c.try_cast("double"))
             c = c.try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
@@ -120,6 +120,19 @@ def _typed(df: DataFrame, schema: T.StructType, defaults: dict | None = None) ->
     return out
 
 
+def _unreadable(df: DataFrame, schema: T.StructType) -> list[tuple[Column, str]]:
+    """Checks for values that are there but fit no value of the column's type (text, overflow)."""
+    out = []
+    for f, typed in zip(schema.fields, _typed(df, schema)):
+        if f.name in df.columns:
+            raw = F.col(f.name)
+            there = raw.isNotNull()
+            if isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+                there = there & ~F.isnan(raw)
+            out.append((there & typed.isNull(), f"{f.name} not representable"))
+    return out
+
+
 def _first_failure(checks) -> Column:
     expr = None
     for cond, reason in checks:
@@ -130,23 +143,25 @@ def _first_failure(checks) -> Column:
 def conform_weather_history(df: DataFrame, location: str = DEFAULT_LOCATION) -> DataFrame:
     """Typed rows plus ``rejection`` (NULL = loadable).  Range checks pass
     on NULL, like SQL CHECK constraints."""
-    typed = df.select(*_typed(df, WEATHER_HISTORY, {"location": location, "precip_mm": 0}))
+    unreadable = _first_failure(_unreadable(df, WEATHER_HISTORY)) if df.columns else F.lit(None)
+    typed = df.select(*_typed(df, WEATHER_HISTORY, {"location": location, "precip_mm": 0}), unreadable.alias("_unreadable"))
     c = F.col
     checks = [(c("recorded_at").isNull(), "recorded_at missing"), (c("temp_c").isNull(), "temp_c missing"),
               (~c("humidity").between(0, 100), "humidity out of range"),
               (~c("wind_dir_deg").between(0, 360), "wind_dir_deg out of range"),
               (~c("cloud_cover_pct").between(0, 100), "cloud_cover_pct out of range")]
-    return typed.withColumn("rejection", _first_failure(checks))
+    return typed.withColumn("rejection", F.coalesce("_unreadable", _first_failure(checks))).drop("_unreadable")
 
 
 def conform_forecasts(df: DataFrame, model_version: str = DEFAULT_MODEL_VERSION) -> DataFrame:
     """Typed forecast rows; horizons outside the allowed list are rejected."""
-    typed = df.select(*_typed(df, FORECAST_HISTORY, {"model_version": model_version}))
+    unreadable = _first_failure(_unreadable(df, FORECAST_HISTORY)) if df.columns else F.lit(None)
+    typed = df.select(*_typed(df, FORECAST_HISTORY, {"model_version": model_version}), unreadable.alias("_unreadable"))
     c = F.col
     checks = [(c("forecast_for").isNull(), "forecast_for missing"),
               (c("horizon_hours").isNull(), "horizon_hours missing"),
               (~c("horizon_hours").isin(*ALLOWED_HORIZONS), "horizon_hours not allowed")]
-    return typed.withColumn("rejection", _first_failure(checks))
+    return typed.withColumn("rejection", F.coalesce("_unreadable", _first_failure(checks))).drop("_unreadable")
 
 
 def loadable(conformed: DataFrame) -> DataFrame:
