@@ -149,10 +149,10 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     gone = materialize(removed(docs, text_col, host_col, min_texts, max_share), "removed-lines")
     host, t1, t2, facts = (fresh(docs, c) for c in ("_host_key", "_text_1", "_text_2", "_facts"))
     text = text_or_empty(text_col)
-    rows = docs.withColumns({host: null_safe_key(host_col), t1: F.xxhash64(text), t2: F.hash(text)})
+    # the facts come before the join, so that a query of facts alone shuffles no text
+    rows = docs.withColumns({host: null_safe_key(host_col), t1: F.xxhash64(text), t2: F.hash(text), facts: base_facts(text)})
     gone = gone.select(*[F.col(c).alias("g" + c) for c in ("_host", "_t1", "_t2", "_gone", "_hashes")])
     rows = rows.join(gone, (rows[host] == gone["g_host"]) & (rows[t1] == gone["g_t1"]) & (rows[t2] == gone["g_t2"]), "left")
-    rows = rows.withColumn(facts, base_facts(text))
     f = F.col(facts)
     failed = (f["n_words"] < min_words) | (100 * f["n_repeat_words"] > MAX_REPEAT_PCT * f["n_words"])
     out = F.coalesce(F.col("g_gone"), F.lit(0))
