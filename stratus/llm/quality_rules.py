@@ -138,9 +138,9 @@ def removed(docs: DataFrame, text_col: str, host_col: str, min_texts: int, max_s
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
-                max_share: float = MAX_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
+                max_share: float = MAX_SHARE, min_words: int = MIN_WORDS, clean: bool = True) -> DataFrame:
     """``docs`` with a struct column ``quality``: the base facts, ``base_failed``, ``n_removed_words``,
-    ``clean_text`` (the text without the removed lines) and ``kept``.
+    ``kept`` and, if ``clean``, ``clean_text`` (the text without the removed lines).
 
     A document is depleted when a line was removed and fewer than ``min_words`` words, or less than
     half of its words, are left.
@@ -160,14 +160,13 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     depleted = (out > 0) & ((left < min_words) | (2 * left < f["n_words"]))
     quality = F.struct(f["n_words"].alias("n_words"), f["word_chars"].alias("word_chars"), f["n_symbols"].alias("n_symbols"),
                        f["n_dup_lines"].alias("n_dup_lines"), f["n_repeat_words"].alias("n_repeat_words"),
-                       failed.alias("base_failed"), out.alias("n_removed_words"),
-                       without_lines(F.col(text_col), F.col("g_hashes")).alias("clean_text"),
-                       (~failed & ~depleted).alias("kept"))
+                       failed.alias("base_failed"), out.alias("n_removed_words"), (~failed & ~depleted).alias("kept"),
+                       *([without_lines(F.col(text_col), F.col("g_hashes")).alias("clean_text")] if clean else []))
     return rows.select(*docs.columns, quality.alias("quality"))
 
 
 def op1_quality_rules(spark, sf_dir):
-    docs = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), clean=False)
     q = F.col("quality")
     return docs.select("doc_id", *[q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
                                                            "n_repeat_words", "base_failed", "n_removed_words", "kept")])
