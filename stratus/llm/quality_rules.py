@@ -10,12 +10,12 @@ Limits: a line is removed on a host when more than ``min_texts`` texts *and*
 more than ``max_share`` of the host's texts hold it.  Exact copies of a text
 count once, so a text is not boilerplate for having been copied.
 
-Scale.  What is removed depends on (host, text) alone, so the line table is
-built over distinct (host, hash of text) pairs after a map-side combine, and a
-group of copies costs one entry.  Counts are partial aggregates; the frequent
-lines are joined back by (host, line), an inner join whose hot keys adaptive
-execution splits.  Only hashes and word counts are shuffled, the texts only
-when the cleaned text itself is asked for.
+Scale.  Lines are counted over distinct (host, hash of text) pairs after a
+map-side combine, so a group of copies costs one entry.  Counts are partial
+aggregates over hashes.  The frequent lines, one list a host (of a length bound
+by the limits, see :func:`frequent_lines`), are joined back by host: broadcast
+while they are below Spark's broadcast threshold, so that texts do not move, a
+shuffled join whose hot hosts adaptive execution splits beyond it.
 
 Defined results: a NULL text is empty (no words, fails the base rules); a NULL
 host is a host of its own; repeated rows give repeated results; an empty table
@@ -75,15 +75,6 @@ def text_facts(text: str) -> tuple:
     return len(words), chars, len(SYMBOLS.findall(text)), dup, repeat_words(words)
 
 
-def base_facts(text: Column) -> Column:
-    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_facts(t) for t in texts], dtype="int64",
-                            columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
-
-    return run(text)
-
-
 def line_facts(line: str) -> tuple[int, int]:
     """(signed hash of the normalised line, its words)."""
     words = line.lower().encode().split()
@@ -92,49 +83,59 @@ def line_facts(line: str) -> tuple[int, int]:
 
 
 def lines_column(text: Column) -> Column:
-    """Hashes and word counts of the lines that have a word, as two arrays."""
-    @F.pandas_udf("h array<long>, w array<int>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = [[f for f in map(line_facts, t.split("\n")) if f[1]] for t in texts]
-        return pd.DataFrame({"h": [np.array([h for h, _ in f], dtype=np.int64) for f in found],
-                             "w": [np.array([w for _, w in f], dtype=np.int32) for f in found]})
+    """Hashes of the distinct lines that have a word."""
+    @F.pandas_udf("array<long>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(sorted({h for h, n in map(line_facts, t.split("\n")) if n}), dtype=np.int64) for t in texts],
+                         dtype=object)
 
     return run(text)
 
 
-def without_lines(text: Column, hashes: Column) -> Column:
-    """The text without the lines of these hashes; NULL hashes leave it as it is."""
-    @F.pandas_udf("string")
-    def run(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        def clean(t, g):
-            g = set(g)
-            return "\n".join(x for x in t.split("\n") if (f := line_facts(x))[1] == 0 or f[0] not in g)
+def without_lines(text: str, gone: set) -> tuple[int, str]:
+    """(words removed, the text without the lines of these hashes)."""
+    left, out = [], 0
+    for line in text.split("\n"):
+        h, n = line_facts(line)
+        if n and h in gone:
+            out += n
+        else:
+            left.append(line)
+    return out, "\n".join(left)
+
+
+def facts_column(text: Column, gone: Column, clean: bool) -> Column:
+    """The base facts of a text, the words in lines of these hashes (NULL: none) and, if ``clean``, the text without them."""
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words"]
+    kinds = ", ".join(f"{n} long" for n in names) + (", clean_text string" if clean else "")
+
+    @F.pandas_udf(kinds)
+    def run(texts: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+        rest = [(0, t) if g is None else without_lines(t, set(g.tolist())) for t, g in zip(texts, hashes)]
+        out = pd.DataFrame([(*text_facts(t), n) for t, (n, _) in zip(texts, rest)], columns=names, dtype="int64")
+        if clean:
+            out["clean_text"] = pd.Series([t for _, t in rest], dtype=object)
+        return out
 
-        return pd.Series([t if t is None or g is None else clean(t, g) for t, g in zip(texts, gone)], dtype=object)
+    return run(text, gone)
 
-    return run(text, hashes)
 
+def frequent_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
+                   max_share: float = MAX_SHARE) -> DataFrame:
+    """(_host, _often): the hashes of the lines above a host's limits, for hosts that have some.
 
-def frequent_lines(docs: DataFrame, text_col: str, host_col: str, min_texts: int, max_share: float):
-    """(per-text lines, frequent lines): tables keyed by ``_host`` and the text hashes ``_t1, _t2``."""
+    A frequent line stands in more than ``max_share`` of its host's texts, so a host has at most
+    1 / ``max_share`` times as many of them as its texts have lines on average.
+    """
     text = text_or_empty(text_col)
     texts = docs.select(null_safe_key(host_col).alias("_host"), F.xxhash64(text).alias("_t1"), F.hash(text).alias("_t2"),
                         lines_column(text).alias("_lines"))
     texts = materialize(texts.groupBy("_host", "_t1", "_t2").agg(F.first("_lines").alias("_lines")), "text-lines")
-    lines = (texts.select("_host", "_t1", "_t2", F.explode(F.arrays_zip("_lines.h", "_lines.w")).alias("l"))
-             .select("_host", "_t1", "_t2", "l.h", "l.w"))
     hosts = texts.groupBy("_host").agg(F.count(F.lit(1)).alias("n_host"))
-    held = (texts.select("_host", F.explode(F.array_distinct("_lines.h")).alias("h"))
+    held = (texts.select("_host", F.explode("_lines").alias("h"))
             .groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min_texts))
-    often = held.join(hosts, "_host").where(F.col("n_texts") > F.col("n_host") * max_share).select("_host", "h")
-    return lines, materialize(often, "frequent-lines")
-
-
-def removed(docs: DataFrame, text_col: str, host_col: str, min_texts: int, max_share: float) -> DataFrame:
-    """(_host, _t1, _t2, removed words, removed line hashes) of the texts that lose a line."""
-    lines, often = frequent_lines(docs, text_col, host_col, min_texts, max_share)
-    return (lines.join(often, ["_host", "h"])
-            .groupBy("_host", "_t1", "_t2").agg(F.sum("w").alias("_gone"), F.collect_set("h").alias("_hashes")))
+    often = held.join(hosts, "_host").where(F.col("n_texts") > F.col("n_host") * max_share)
+    return materialize(often.groupBy("_host").agg(F.collect_list("h").alias("_often")), "frequent-lines")
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
@@ -146,23 +147,22 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     half of its words, are left.
     """
     small_batches(docs)
-    gone = materialize(removed(docs, text_col, host_col, min_texts, max_share), "removed-lines")
-    host, t1, t2, facts = (fresh(docs, c) for c in ("_host_key", "_text_1", "_text_2", "_facts"))
-    text = text_or_empty(text_col)
-    # the facts come before the join, so that a query of facts alone shuffles no text
-    rows = docs.withColumns({host: null_safe_key(host_col), t1: F.xxhash64(text), t2: F.hash(text), facts: base_facts(text)})
-    gone = gone.select(*[F.col(c).alias("g" + c) for c in ("_host", "_t1", "_t2", "_gone", "_hashes")])
-    rows = rows.join(gone, (rows[host] == gone["g_host"]) & (rows[t1] == gone["g_t1"]) & (rows[t2] == gone["g_t2"]), "left")
+    host, facts = fresh(docs, "_host_key"), fresh(docs, "_facts")
+    often = frequent_lines(docs, text_col, host_col, min_texts, max_share)
+    often = often.select(F.col("_host").alias("g_host"), F.col("_often").alias("g_often"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), null_safe_key(host_col).alias(host))
+    rows = rows.join(often, rows[host] == often["g_host"], "left")
+    text = F.col("_row")[text_col]
+    rows = rows.withColumn(facts, facts_column(text_or_empty(text), F.col("g_often"), clean))
     f = F.col(facts)
     failed = (f["n_words"] < min_words) | (100 * f["n_repeat_words"] > MAX_REPEAT_PCT * f["n_words"])
-    out = F.coalesce(F.col("g_gone"), F.lit(0))
-    left = f["n_words"] - out
-    depleted = (out > 0) & ((left < min_words) | (2 * left < f["n_words"]))
-    quality = F.struct(f["n_words"].alias("n_words"), f["word_chars"].alias("word_chars"), f["n_symbols"].alias("n_symbols"),
-                       f["n_dup_lines"].alias("n_dup_lines"), f["n_repeat_words"].alias("n_repeat_words"),
-                       failed.alias("base_failed"), out.alias("n_removed_words"), (~failed & ~depleted).alias("kept"),
-                       *([without_lines(F.col(text_col), F.col("g_hashes")).alias("clean_text")] if clean else []))
-    return rows.select(*docs.columns, quality.alias("quality"))
+    left = f["n_words"] - f["n_removed_words"]
+    depleted = (f["n_removed_words"] > 0) & ((left < min_words) | (2 * left < f["n_words"]))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    quality = F.struct(*[f[n].alias(n) for n in names], failed.alias("base_failed"), f["n_removed_words"].alias("n_removed_words"),
+                       (~failed & ~depleted).alias("kept"),
+                       *([F.when(text.isNotNull(), f["clean_text"]).alias("clean_text")] if clean else []))
+    return rows.select("_row.*", quality.alias("quality"))
 
 
 def op1_quality_rules(spark, sf_dir):
