@@ -255,3 +255,14 @@ def test_chat_typed_parts(spark):
     assert [(a["ordinal"], a["type"], a["ref"], a["n_tokens"]) for a in r["attachments"]] == [
         (0, "image", "img://1", 4), (1, "audio", "aud://2", 38), (2, "document", "doc://3", 512)]
     assert r["n_media_tokens"] == 554
+
+
+def test_sums_of_constants_stay_bounded():
+    from stratus.llm import secrets_scan as S
+
+    doubling = 'secret_a = "Xk9pQ2vL7"\n' + "secret_a = secret_a + secret_a\n" * 200
+    assert {v for _, _, v in S.name_literal_pairs(doubling)} == {"Xk9pQ2vL7"}
+    chain = 'a0 = "p0"\n' + "".join(f'a{i} = a{i - 1} + "p{i}"\n' for i in range(1, 300))
+    pairs = list(S.name_literal_pairs(chain))
+    assert len(pairs) == 300 and max(len(s) for _, s, _ in pairs) <= S.MOST_PARTS + 1
+    assert pairs[2] == ("a2", [(6, 8), (21, 23), (36, 38)], "p0p1p2")
