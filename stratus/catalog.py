@@ -808,3 +808,167 @@ def c6_importance(spark, sf):
     model = rf.fit(data.filter("is_train"))
     assert isinstance(rf, RandomForestRegressor)
     return T.feature_importance(model, cfg.features, 20)
+
+
+# ----------------------------------------------- sources, model tier, forecasts ---
+
+_OBS_CSV = ("tempC", "precipMM", "humidity", "cloudcover", "FeelsLikeC", "windspeedKmph")
+
+
+@register("a1_csv_observations", with_views(f"SELECT date_time, pressure, {', '.join(_OBS_CSV)} FROM obs_hourly", "obs_hourly"))
+def a1_csv_observations(spark, sf):
+    """A1: the hourly observations written as CSV with a header and read back typed."""
+    from .sources.materialize import scratch
+    from .sources.observations import TIMESTAMP_FORMAT, read_observations
+    path = scratch(spark, "observations-csv")
+    obs = A.obs_hourly(spark, sf).withColumn("date_time", F.date_format("date_time", TIMESTAMP_FORMAT))
+    obs.write.option("header", True).csv(path)
+    back = read_observations(spark, path, types={**{c: "double" for c in _OBS_CSV}, "pressure": "bigint"})
+    return back.select("date_time", "pressure", *_OBS_CSV)
+
+
+@register("a3_engineered_round_trip", O.features_query("obs_hourly", O.HOURLY_TYPES, dropna=True))
+def a3_engineered_round_trip(spark, sf):
+    """A2, A3: the engineered table written by year and month, found and read back in its column order."""
+    from .sources.materialize import scratch
+    from .sources.observations import load_observations, write_engineered
+    folder = scratch(spark, "engineered")
+    write_engineered(hourly_features(spark, sf), f"{folder}/engineered")
+    return round_doubles(load_observations(spark, folder), 6)
+
+
+def _first_test_rows(spark, sf, k):
+    """The first ``k`` rows after the chronological split of every lineitem row."""
+    idx = index.with_row_index(A.obs_rows(spark, sf), "date_time", tiebreak=("location", *A.LINEITEM_TIEBREAK))
+    start = idx.select(F.floor(F.count(F.lit(1)) * F.lit(0.8))).scalar()
+    head = index.head_after(idx.withColumn("test_start", start), "test_start", k, "row_idx")
+    return head.select("row_idx", "date_time", "location", "l_orderkey", "l_linenumber", "tempC")
+
+
+for _k in (500, 2000, 3000):
+    register(f"c7_first_{_k}_test_rows_all", with_views(f"""
+, idx AS (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY date_time, location, l_orderkey, l_partkey, l_linenumber,
+            l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS row_idx FROM obs_rows)
+SELECT row_idx, date_time, location, l_orderkey, l_linenumber, tempC FROM idx
+WHERE row_idx >= floor(n * 0.8) AND row_idx < floor(n * 0.8) + {_k}""", "obs_rows"))(
+        lambda spark, sf, k=_k: _first_test_rows(spark, sf, k))
+
+
+@register("f13_residual_pairs", _TEST_SQL + f"""
+SELECT date_time, {R('temp_lag_1', 6)} AS prediction, {R('tempC - temp_lag_1', 6)} AS residual FROM test""")
+def f13_residual_pairs(spark, sf):
+    test = _persistence_eval(spark, sf)
+    return round_doubles(test.select("date_time", F.col("temp_lag_1").alias("prediction"),
+                                     (F.col("tempC") - F.col("temp_lag_1")).alias("residual")), 6)
+
+
+def _per_feature(agg: str) -> str:
+    inner = ", ".join(f"{agg}(CAST({c} AS DOUBLE)) AS {c}" for c in _HF_MODEL)
+    return f"(UNPIVOT (SELECT {inner} FROM split WHERE is_train) ON COLUMNS(*) INTO NAME feature VALUE v)"
+
+
+@register("f1_feature_scaling", HOURLY_SPLIT_SQL + f"""
+SELECT m.feature, {R('m.v', 6)} AS mean, {R('CASE WHEN s.v > 1e-9 THEN s.v ELSE 1.0 END', 6)} AS scale
+FROM {_per_feature('avg')} m JOIN {_per_feature('stddev_pop')} s ON m.feature = s.feature""")
+def f1_feature_scaling(spark, sf):
+    from .plans import training as T
+    feats = hourly_features(spark, sf)
+    return round_doubles(T.scaling(hourly_split(spark, sf, feats), _train_config(feats).features), 6)
+
+
+#: Boosting rounds of the registered model queries; the library's defaults are the full settings.
+QUERY_ROUNDS = 5
+
+_MEAN_SQL = HOURLY_SPLIT_SQL + """, size AS (
+  SELECT count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test,
+         avg(tempC) FILTER (WHERE is_train) AS t, avg(FeelsLikeC) FILTER (WHERE is_train) AS f FROM split)"""
+
+
+def _mean_rmse(data, label):
+    """RMSE on the test rows of predicting the train rows' mean."""
+    mean = data.filter("is_train").select(F.avg(label)).scalar()
+    return data.filter(~F.col("is_train")).select(F.sqrt(F.avg(F.pow(F.col(label) - mean, 2)))).scalar()
+
+
+def _model_data(spark, sf):
+    from .plans import training as T
+    feats = hourly_features(spark, sf)
+    cfg = _train_config(feats)
+    cfg.baseline_iters = cfg.final_iters = QUERY_ROUNDS
+    return feats, cfg, T.prepare(feats, cfg)
+
+
+@register("m_baselines_against_mean", _MEAN_SQL + f"""
+SELECT model, n_train, n_test, CAST({len(_HF_MODEL)} AS INTEGER) AS n_features,
+       (SELECT {R('sqrt(avg((tempC - t) * (tempC - t)))', 6)} FROM split, size WHERE NOT is_train) AS mean_rmse, true AS beats_mean
+FROM size, (VALUES ('LinearRegression'), ('RandomForest'), ('GBT'), ('GBTLeafwise')) v(model)""")
+def m_baselines_against_mean(spark, sf):
+    """All four baselines, each against predicting the train mean."""
+    from .plans import training as T
+    _, cfg, data = _model_data(spark, sf)
+    cfg.rf_trees = 20
+    base = _mean_rmse(data, cfg.temp)
+    metrics = T.baseline_metrics(T.fit_baselines(data, cfg), data, cfg.temp)
+    return round_doubles(metrics.select(
+        "model", data.select(F.count_if("is_train")).scalar().alias("n_train"), F.col("n").alias("n_test"),
+        F.lit(len(cfg.features)).alias("n_features"), base.alias("mean_rmse"), (F.col("rmse") < base).alias("beats_mean")), 6)
+
+
+@register("m_final_models", _MEAN_SQL + f"""
+SELECT 'temp' AS model, n_test, (SELECT {R('sqrt(avg((tempC - t) * (tempC - t)))', 6)} FROM split, size WHERE NOT is_train) AS mean_rmse,
+       CAST(20 AS BIGINT) AS n_importances, true AS sound FROM size
+UNION ALL SELECT 'feels', n_test, (SELECT {R('sqrt(avg((FeelsLikeC - f) * (FeelsLikeC - f)))', 6)} FROM split, size WHERE NOT is_train), 20, true FROM size
+UNION ALL SELECT 'rain', n_test, NULL, 20, true FROM size""")
+def m_final_models(spark, sf):
+    """The final temperature, feels-like and class-weighted rain models.  Sound:
+    better than the train mean on the test rows, and rain probabilities between 0 and 1."""
+    from .plans import training as T
+    _, cfg, data = _model_data(spark, sf)
+    models = T.fit_final(data, cfg)
+    test = T.score(models, data.filter(~F.col("is_train")))
+    parts = []
+    for name, label in (("temp", cfg.temp), ("feels", cfg.feels), ("rain", None)):
+        base = _mean_rmse(data, label) if label else F.lit(None).cast("double")
+        sound = (F.sqrt(F.avg(F.pow(F.col(label) - F.col(f"{name}_pred"), 2))) < base if label
+                 else F.min(F.col("rain_probability").between(0, 1)))
+        n = T.feature_importance(models[name], cfg.features, 20).select(F.count(F.lit(1))).scalar()
+        parts.append(test.agg(F.count(F.lit(1)).alias("n_test"), sound.alias("sound"))
+                     .select(F.lit(name).alias("model"), "n_test", base.alias("mean_rmse"), n.alias("n_importances"), "sound"))
+    return round_doubles(parts[0].unionByName(parts[1]).unionByName(parts[2]), 6)
+
+
+_LAST_SQL = f"""
+, {HOURLY_FEATURES_CTE.strip()},
+clean AS ({HOURLY_FEATURES_FINAL}),
+last AS (SELECT * FROM clean ORDER BY date_time DESC LIMIT 1)"""
+
+
+@register("g3_scored_forecasts", with_views(_LAST_SQL + """
+SELECT h AS horizon_hours, strftime(date_time + h * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS timestamp,
+       CAST(trunc(humidity) AS INTEGER) AS humidity, CAST(pressure AS INTEGER) AS pressure,
+       CAST(trunc(windspeedKmph) AS INTEGER) AS wind_speed, true AS has_temperature, true AS has_feels_like, true AS probability_sound
+FROM (SELECT *, unnest([1, 3, 6]) AS h FROM last)""", "obs_hourly"))
+def g3_scored_forecasts(spark, sf):
+    """The latest complete row scored by all three final models for the standard horizons."""
+    from .plans import training as T
+    feats, cfg, data = _model_data(spark, sf)
+    out = fc.forecast(feats, T.fit_final(data, cfg), cfg.features, fc.standard_horizons())
+    return out.select("horizon_hours", "timestamp", "humidity", "pressure", "wind_speed",
+                      F.col("temperature").isNotNull().alias("has_temperature"), F.col("feels_like").isNotNull().alias("has_feels_like"),
+                      F.coalesce(F.col("rain_probability").between(0, 100), F.lit(False)).alias("probability_sound"))
+
+
+@register("g6_custom_horizon_rows", with_views(_LAST_SQL + _future_sql("[12]"), "obs_hourly"))
+def g6_custom_horizon_rows(spark, sf):
+    return round_doubles(fc.future_rows(hourly_features(spark, sf), fc.custom_horizon(12)).select(*_FUTURE_COLS), 6)
+
+
+@register("g7_fallback_from_latest", with_views("""
+SELECT CAST(h AS INTEGER) AS horizon_hours, strftime(t + h * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS timestamp,
+       CAST(26.0 AS DOUBLE) AS temperature, CAST(27.0 AS DOUBLE) AS feels_like, CAST(25.0 AS DOUBLE) AS rain_probability,
+       CAST(60 AS INTEGER) AS humidity, CAST(1010 AS INTEGER) AS pressure, CAST(10 AS INTEGER) AS wind_speed
+FROM (SELECT max(date_time) AS t FROM obs_hourly), (SELECT unnest([1, 3, 6]) AS h)""", "obs_hourly"))
+def g7_fallback(spark, sf):
+    """The explicit fallback forecast, issued at the latest observation."""
+    return fc.fallback(fc.standard_horizons(), A.obs_hourly(spark, sf).select(F.max("date_time")).scalar())
+

@@ -26,6 +26,7 @@ from ..operators import evaluate, index
 from ..operators.summary import class_balance_weight
 from ..session import ensure_checkpoint_dir
 from ..sources.materialize import materialize
+from ..sources.observations import read_column_list, write_column_list
 
 # Fixed values that must equal the reference's settings.
 TRAIN_FRACTION = 0.8
@@ -107,18 +108,22 @@ def prepare(engineered: DataFrame, cfg: TrainConfig) -> DataFrame:
     keep = [*cfg.key, "series_idx", "is_train", cfg.temp, cfg.rain, *([cfg.feels] if cfg.feels in split.columns else []),
             *[c for c in cfg.features if c in split.columns]]
     table = split.select(*dict.fromkeys(keep)).withColumns(missing)
-    data = materialize(assembler(cfg.features).transform(table), "model-input")
-    # Iterative learners run one job per tree level.  Partitions are sized by
-    # rows (about 500k each), but never fewer than the cluster's task slots:
-    # each level's per-node histograms and split search are spread over the
-    # partitions, so a small table on one partition leaves the cluster idle
-    # (the 100-tree forest fits ~20 % faster on 8 slots than on 1).
-    n = data.count()
-    target = max(-(-n // ROWS_PER_PARTITION), data.sparkSession.sparkContext.defaultParallelism, 1)
-    current = data.rdd.getNumPartitions()
-    if current > target:
-        return data.coalesce(target)
-    return data.repartition(target) if current < target else data
+    # Iterative learners run one job per tree level over the written table, so it is laid out
+    # before the write: about 500k rows a partition, but never fewer partitions than the
+    # cluster's task slots (each level's histograms are spread over the partitions).  The count
+    # scans the index table that ``split_frame`` wrote.
+    target = max(-(-split.count() // ROWS_PER_PARTITION), table.sparkSession.sparkContext.defaultParallelism, 1)
+    return materialize(assembler(cfg.features).transform(table).repartition(target), "model-input")
+
+
+def scaling(data: DataFrame, features) -> DataFrame:
+    """(feature, mean, scale) of the train rows; the scale is the population standard
+    deviation, 1 for a constant feature."""
+    train = data.filter("is_train")
+    x = {c: F.col(c).cast("double") for c in features}
+    means = train.agg(*[F.avg(v).alias(c) for c, v in x.items()]).unpivot([], list(features), "feature", "mean")
+    devs = train.agg(*[F.stddev_pop(v).alias(c) for c, v in x.items()]).unpivot([], list(features), "feature", "dev")
+    return means.join(devs, "feature").select("feature", "mean", F.when(F.col("dev") > 1e-9, F.col("dev")).otherwise(1.0).alias("scale"))
 
 
 def fit_baselines(data: DataFrame, cfg: TrainConfig) -> dict:
@@ -171,12 +176,19 @@ def feature_importance(model, features, k: int | None = 20):
     return ordered.limit(k) if k else ordered
 
 
-def save(models: dict, path: str) -> None:
-    """A4: persist every fitted model under ``path/<name>``."""
+def save(models: dict, path: str, features) -> None:
+    """A4: persist every fitted model under ``path/<name>``, with the ordered list of its inputs:
+    models know them by position only."""
+    write_column_list(SparkSession.getActiveSession(), features, path)
     for name, m in models.items():
         m.write().overwrite().save(f"{path.rstrip('/')}/{name}")
 
 
+def load_features(path: str) -> list[str]:
+    """The inputs of the models saved under ``path``, in order."""
+    return read_column_list(SparkSession.getActiveSession(), path)
+
+
 def _exists(path: str) -> bool:
     spark = SparkSession.getActiveSession()
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -21,12 +21,16 @@ _WRITTEN: list[str] = []
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return a scan of it."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/stratus-{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path under the checkpoint folder, removed by :func:`cleanup`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stratus-{label}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return path
 
 
 def cleanup(spark: SparkSession) -> int:

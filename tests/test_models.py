@@ -48,8 +48,9 @@ def test_final_models_forecast_and_reload(spark, prepared):
     hourly = fc.forecast(feats, models, cfg.features, fc.hourly_horizons(24))
     assert hourly.count() == 24
     path = tempfile.mkdtemp(prefix="stratus-models-")
-    T.save(models, path)
-    again = fc.forecast(feats, T.load(path), cfg.features, fc.standard_horizons())
+    T.save(models, path, cfg.features)
+    assert T.load_features(path) == list(cfg.features)
+    again = fc.forecast(feats, T.load(path), T.load_features(path), fc.standard_horizons())
     assert [r.temperature for r in again.orderBy("horizon_hours").collect()] == [r.temperature for r in rows]
     imp = T.feature_importance(models["temp"], cfg.features, 20)
     assert imp.count() == 20
