@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.calendar import MONSOON_MONTHS, month_name, week_ending_sunday
 from ..functions.rounding import half_even, half_up
 from ..functions.rules import nan_to_null, numeric_columns
+from ..session import scale_shuffle_partitions
 from .quantiles import exact_quantiles
 
 # Fixed values that must equal the reference's results.
@@ -70,6 +71,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows repeating an earlier identical row (NULL equals NULL)."""
+    scale_shuffle_partitions(df)  # whole rows are shuffled
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import week_ending_sunday
 from ..functions.rules import nan_to_null, rain_label
+from ..session import scale_shuffle_partitions
 from .index import _as_list
 
 # Decimal shape of the forecast table's temperature columns.
@@ -26,6 +27,8 @@ def backfill_actuals(forecasts: DataFrame, observations: DataFrame, ts: str = "d
     ``feels_actual`` is NULL.
     """
     keys = _as_list(key)
+    for side in (forecasts, observations):
+        scale_shuffle_partitions(side)
     felt = F.col(feels) if feels else F.lit(None).cast("double")
     # one row per (key, time): a repeated observation must not repeat forecasts
     obs = (nan_to_null(observations).groupBy(*keys, F.col(ts).alias("_obs_ts"))

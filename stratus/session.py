@@ -96,7 +96,7 @@ def scale_shuffle_partitions(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_
 
     AQE coalesces partitions that come out small but never splits large ones
     (outside skew joins), so the initial count must follow the data: 100 TB
-    needs on the order of a million partitions, not the default 200.  The
+    needs some 93,000 partitions, not the default 200.  The
     size is the sum of the plan's leaf relations (file sizes for scans): the
     bytes read, which joins or explodes above them cannot inflate.  No data
     is read.  The setting is only ever raised.

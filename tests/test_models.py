@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from stratus.catalog import hourly_features
 from stratus.operators import evaluate, monitor
 from stratus.plans import forecast as fc

@@ -7,7 +7,7 @@ same comparison at any scale.
 
 import pytest
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from oracle_compare import compare
 from stratus.catalog import ORACLE
 

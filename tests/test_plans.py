@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF_SMALL
+from scales import SF_SMALL
 from stratus.catalog import QUERIES, hourly_features
 from stratus.sources import adapters as A
 
