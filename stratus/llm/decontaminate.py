@@ -9,15 +9,17 @@ window whose sampled words equal those of an item's window is a candidate.
 Candidates are verified by the exact edit distance of the whole item to the
 best-fitting stretch of the document.
 
-Windows.  Items are dealt into classes of similar length (ratio 1.35).  In a
-class whose shortest item has n words the stride is n // 4 and a window has
-n - stride + 1 words, so every whole occurrence of an item holds at least one
-document window that starts inside it; of the item all windows are indexed.
+Windows.  Items of fewer than ``ONE_CLASS`` words are dealt into classes of
+similar length (ratio 1.35), all longer ones are one class.  In a class whose
+shortest item has n words (``LONG`` at most count) the stride is n // 4 and a
+window has n - 2 * stride + 1 words, so every whole occurrence of an item holds
+at least two document windows, and one of a long item many, of which those with
+few edits hit; of the item all windows are indexed.
 
 Repetitions follow from ``target_recall``: edits at the limit (one word in
-five) are simulated on items, the share of samples in which item and edited
-item share a signature is the hit rate of one repetition, and as many are
-taken (32 at most) as miss with mean probability 1 - target_recall.
+five) are simulated on the shortest items of a class, the hardest, and walks of
+``PER_WALK`` repetitions are added, as many as it takes, until those of every
+length are found with the target's probability.
 
 Scale.  One pass over the documents, no shuffle: the items travel in blocks of
 at most ``block_bytes`` of text (a stated query set against all rows, in
@@ -41,12 +43,13 @@ from .common import ship, small_batches, table, text_or_empty
 
 ship(__name__)
 
-SAMPLE = 4           # output positions in one repetition
-WALKS = 2            # independent embeddings; repetitions are dealt over them
+SAMPLE = 5           # output positions in one repetition
+PER_WALK = 32        # repetitions over one embedding
 RATIO = 1.35
-MAX_REPETITIONS = 32  # recall at the limit of similarity then falls short of the target by what the tests measure
-SIMULATED = 200
-FILTER_BITS = 20
+ONE_CLASS, LONG = 14, 20
+SIMULATED, LENGTHS = 400, 8  # samples for each of the shortest lengths of a class
+STALLED = 50         # walks in a row that find nothing new
+FILTER_BITS = 20, 24
 WINDOWS_AT_ONCE = 8192
 _CHUNK = 1_500_000
 
@@ -77,7 +80,7 @@ class Walk:
         k = min(SAMPLE, self.steps)
         self.at: dict[int, list[int]] = {}
         for r in range(repetitions):
-            for t in sorted(rng.choice(self.steps, k, replace=False).tolist()):
+            for t in (int(rng.integers(self.steps * j // k, self.steps * (j + 1) // k)) for j in range(k)):  # spread, so few are of one word
                 self.at.setdefault(t, []).append(r)
         self.salt = rng.integers(1, 2**63, repetitions, dtype=np.uint64)
         self.last = max(self.at)
@@ -109,22 +112,45 @@ def edited(words: np.ndarray, share: float, rng) -> np.ndarray:
     return np.array(out, dtype=np.uint32)
 
 
-def repetitions_for(items: list[np.ndarray], m: int, stride: int, similarity: float, target: float, seed: int) -> int:
-    """Fewest repetitions that miss items edited up to the limit with mean probability 1 - ``target``."""
+def shared(walk: Walk, pairs: list, stride: int, firsts: list) -> np.ndarray:
+    """For each pair (item, edited item) whether they share a signature of ``walk``."""
+    def laid(arrays, starts):
+        spare = np.zeros(2 * walk.m, dtype=np.uint32)
+        at = np.cumsum([0] + [len(a) + len(spare) for a in arrays])
+        sig = walk.signatures(np.concatenate([x for a in arrays for x in (a, spare)]),
+                              np.concatenate([s + x for s, x in zip(starts, at)]))
+        who = np.repeat(np.arange(len(arrays)), [len(s) for s in starts])
+        return sig ^ (who.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), who
+
+    own, _ = laid([a for a, _ in pairs], [np.arange(len(a) - walk.m + 1) for a, _ in pairs])
+    near, who = laid([b for _, b in pairs], [np.arange(f, max(f + 1, len(b) - walk.m + 1), stride)
+                                             for (_, b), f in zip(pairs, firsts)])
+    found = np.zeros(len(pairs), dtype=bool)
+    for a, b in zip(own, near):
+        found[who[np.isin(b, a)]] = True
+    return found
+
+
+def walks_for(items: list[np.ndarray], m: int, stride: int, similarity: float, target: float, seed: int) -> list[Walk]:
+    """Walks until items edited up to the limit are found with probability ``target`` (and a standard error)
+    at each of the shortest lengths; an error if more walks find nothing new before that."""
     rng = np.random.default_rng([seed, m, 1])
-    probe, rates = 32, []
-    walk = Walk(m, probe, seed + 1)
-    spare = np.zeros(2 * m, dtype=np.uint32)
-    for k in range(SIMULATED):
-        item = items[k % len(items)]
-        near = edited(item, 1 - similarity, rng)
-        own = walk.signatures(np.concatenate([item, spare]), np.arange(len(item) - m + 1))
-        first = int(rng.integers(stride))
-        starts = np.arange(first, max(first + 1, len(near) - m + 1), stride)
-        got = walk.signatures(np.concatenate([near, spare]), starts)
-        rates.append((sum(bool(set(a.tolist()) & set(b.tolist())) for a, b in zip(own, got)) + 0.5) / (probe + 1))
-    miss = 1 - np.array(rates)
-    return next((r for r in range(4, MAX_REPETITIONS) if (miss ** r).mean() <= 1 - target), MAX_REPETITIONS)
+    simulated = []
+    for n in sorted({len(a) for a in items})[:LENGTHS]:
+        same = [a for a in items if len(a) == n]
+        pairs = [(a, edited(a, 1 - similarity, rng)) for a in (same[k % len(same)] for k in range(SIMULATED))]
+        simulated.append((pairs, rng.integers(stride, size=SIMULATED).tolist(), np.zeros(SIMULATED, dtype=bool)))
+    walks, rates, idle, short = [], [], 0, True
+    while short:
+        if idle == STALLED:
+            raise ValueError(f"a recall of {target} at similarity {similarity} is out of reach for windows of {m} words: {min(rates):.3f}")
+        walks.append(Walk(m, PER_WALK, seed + 7 * len(walks)))
+        for pairs, firsts, found in simulated:
+            found |= shared(walks[-1], pairs, stride, firsts)
+        before, rates = rates, [found.mean() for _, _, found in simulated]
+        idle = idle + 1 if rates == before else 0
+        short = any(r - (r * (1 - r) / SIMULATED) ** 0.5 < target for r in rates)
+    return walks
 
 
 def best_match(pattern: list[bytes], text: list[bytes]) -> tuple[int, int]:
@@ -164,30 +190,31 @@ class Index:
         self.classes = []
         while order:
             n = len(self.items[order[0]][1])
-            own = [k for k in order if len(self.items[k][1]) < max(n + 1, n * RATIO)]
+            own = order if n >= ONE_CLASS else [k for k in order if len(self.items[k][1]) < min(ONE_CLASS, max(n + 1, n * RATIO))]
             order = order[len(own):]
             self.classes.append(self._class(n, own, target, seed))
 
     def _class(self, n: int, own: list[int], target: float, seed: int):
+        n = min(n, LONG)
         stride = stride_of(n)
-        m = n - stride + 1
+        m = n - 2 * stride + 1
         arrays = {k: hashes_of(self.items[k][1]) for k in own}
-        reps = repetitions_for(list(arrays.values()), m, stride, self.similarity, target, seed)
-        walks = [Walk(m, -(-reps // WALKS), seed + 7 * w) for w in range(WALKS)]
         spare, indexed = np.zeros(m, dtype=np.uint32), []
-        for walk in walks:
+        for walk in walks_for(list(arrays.values()), m, stride, self.similarity, target, seed):
             sigs, who, offs = [], [], []
             for k, a in arrays.items():
-                starts = np.arange(len(a) - m + 1)
+                starts = np.arange(len(a) - m + 1, dtype=np.int32)
                 s = walk.signatures(np.concatenate([a, spare]), starts)
                 sigs.append(s.ravel())
-                who.append(np.full(s.size, k))
+                who.append(np.full(s.size, k, dtype=np.int32))
                 offs.append(np.tile(starts, len(s)))
             sig, who, offs = np.concatenate(sigs), np.concatenate(who), np.concatenate(offs)
             by = np.argsort(sig, kind="stable")
-            seen = np.zeros(1 << FILTER_BITS, dtype=bool)
-            seen[(sig >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-            indexed.append((walk, sig[by], who[by], offs[by], seen))
+            bits = min(max(16 * len(sig) - 1, 1).bit_length(), FILTER_BITS[1])
+            shift = np.uint64(64 - max(bits, FILTER_BITS[0]))
+            seen = np.zeros(1 << (64 - int(shift)), dtype=bool)
+            seen[(sig >> shift).astype(np.int64)] = True
+            indexed.append((walk, sig[by], who[by], offs[by], seen, shift))
         return m, stride, indexed
 
     def limit(self, n: int) -> int:
@@ -199,9 +226,9 @@ class Index:
         for m, stride, walks in self.classes:
             for first in range(0, total, stride * WINDOWS_AT_ONCE):
                 starts = np.arange(first, min(total, first + stride * WINDOWS_AT_ONCE), stride)
-                for walk, sig, who, offs, seen in walks:
+                for walk, sig, who, offs, seen, shift in walks:
                     rows = walk.signatures(symbols, starts)
-                    rep, may = np.nonzero(seen[(rows >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+                    rep, may = np.nonzero(seen[(rows >> shift).astype(np.int64)])
                     got = rows[rep, may]
                     lo, hi = np.searchsorted(sig, got, "left"), np.searchsorted(sig, got, "right")
                     for i, a, b in zip(may[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):

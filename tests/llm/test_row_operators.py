@@ -225,6 +225,30 @@ def test_leaks_recall_and_precision_against_brute_force():
     assert all(not f for f in found[240:])
 
 
+def _recall_at_the_limit(lengths, trials=150):
+    """For each length the share of copies with as many edits as the operator accepts that is found."""
+    rng = random.Random(7)
+    vocab = [f"w{i}" for i in range(2000)]
+    filler = lambda: [rng.choice(vocab) for _ in range(rng.randrange(60))]
+    items = [(n, " ".join(rng.choice(vocab) for _ in range(n))) for n in lengths]
+    index, out = decontaminate.Index(items, 0.8, 0.95, 11, 5), []
+    for n, text in items:
+        texts = []
+        for _ in range(trials):
+            words = text.split()
+            for _ in range(n // 5):
+                at = rng.randrange(len(words))
+                words[at:at + 1] = rng.choice([[f"new{rng.randrange(10**6)}"], [], [words[at], "more"]])
+            texts.append(" ".join(filler() + words + filler()))
+        out.append(sum(any(h[0] == n for h in hits) for hits in index.search(texts)) / trials)
+    return out
+
+
+@pytest.mark.parametrize("lengths", [[18], [50], [100], [200], [300], [18, 24, 50, 100, 200, 300]])
+def test_leaks_recall_at_the_limit_holds_for_long_items(lengths):
+    assert min(_recall_at_the_limit(lengths)) >= 0.95
+
+
 # ---- chat -------------------------------------------------------------------
 
 def test_chat_round_trip_with_control_strings(spark):
