@@ -102,10 +102,15 @@ class Walk:
         return sig
 
 
+def most_edits(n: int, share: float) -> int:
+    """The edits that an item of ``n`` words may have; the share of 1 - 0.8 is a little under a fifth."""
+    return int(share * n + 1e-9)
+
+
 def edited(words: np.ndarray, share: float, rng) -> np.ndarray:
     """``words`` with ``share`` of them replaced, deleted or doubled by new ones."""
     out = list(words)
-    for _ in range(int(share * len(words))):
+    for _ in range(most_edits(len(words), share)):
         i, kind = int(rng.integers(len(out))), int(rng.integers(3))
         new = int(rng.integers(1, 2**32))
         out[i:i + 1] = [[new], [], [out[i], new]][kind] if len(out) > 1 else [new]
@@ -218,7 +223,7 @@ class Index:
         return m, stride, indexed
 
     def limit(self, n: int) -> int:
-        return int((1 - self.similarity) * n + 1e-9)
+        return most_edits(n, 1 - self.similarity)
 
     def _candidates(self, symbols: np.ndarray, total: int):
         """(item, document word at which the item would begin), without repeats."""

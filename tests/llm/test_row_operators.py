@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,6 +250,20 @@ def test_leaks_recall_at_the_limit_holds_for_long_items(lengths):
     assert min(_recall_at_the_limit(lengths)) >= 0.95
 
 
+def test_simulated_edits_are_as_many_as_the_limit_allows():
+    rng = np.random.default_rng(8)
+    index = decontaminate.Index([], 0.8, 0.95, 11, 5)
+    for n in (5, 10, 15, 20):
+        words = np.arange(1, n + 1, dtype=np.uint32)
+        kept = [n - len(set(words.tolist()) & set(decontaminate.edited(words, 1 - 0.8, rng).tolist())) for _ in range(200)]
+        assert max(kept) == index.limit(n) == n // 5
+
+
+@pytest.mark.parametrize("lengths", [[5], [10], [15], [20], [5, 10, 15, 20]])
+def test_leaks_recall_at_the_limit_for_multiples_of_five(lengths):
+    assert min(_recall_at_the_limit(lengths)) >= 0.95
+
+
 # ---- chat -------------------------------------------------------------------
 
 def test_chat_round_trip_with_control_strings(spark):
