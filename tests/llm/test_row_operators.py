@@ -305,3 +305,12 @@ def test_sums_of_constants_stay_bounded():
     pairs = list(S.name_literal_pairs(chain))
     assert len(pairs) == 300 and max(len(s) for _, s, _ in pairs) <= S.MOST_PARTS + 1
     assert pairs[2] == ("a2", [(6, 8), (21, 23), (36, 38)], "p0p1p2")
+
+
+def test_long_constants_are_passed_on():
+    rng = random.Random(9)
+    blob = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(6000))
+    text = f'blob = "{blob}"\nprivate_key = blob\n'
+    assert [text[a:b] for _, a, b in secrets_scan.literal_spans(text)] == [blob]
+    text = f'left = "{blob}"\nright = "{blob[::-1]}"\nclient_secret = left + right\n'
+    assert [text[a:b] for _, a, b in secrets_scan.literal_spans(text)] == [blob, blob[::-1]]
