@@ -90,18 +90,15 @@ MAX_SHUFFLE_PARTITIONS = 100_000
 _UNKNOWN_SIZE = 1 << 62
 
 
-def scale_shuffle_partitions(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_PER_PARTITION) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a full shuffle of ``df`` gets
-    partitions of about ``bytes_per_partition``; return the value in force.
+def partitions_for(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_PER_PARTITION) -> int:
+    """Partitions for a full shuffle of ``df``: the session's, or more if they would exceed ``bytes_per_partition``.
 
     AQE coalesces partitions that come out small but never splits large ones
-    (outside skew joins), so the initial count must follow the data: 100 TB
-    needs some 93,000 partitions, not the default 200.  The
-    size is the sum of the plan's leaf relations (file sizes for scans): the
-    bytes read, which joins or explodes above them cannot inflate.  No data
-    is read.  The setting is only ever raised.
+    (outside skew joins), so the count must follow the data: 100 TB needs some
+    93,000 partitions, not the default 200.  The size is the sum of the plan's
+    leaf relations (file sizes for scans): the bytes read, which joins or
+    explodes above them cannot inflate.  No data is read, no setting changed.
     """
-    spark = df.sparkSession
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = 0
     for i in range(leaves.size()):
@@ -114,8 +111,13 @@ def scale_shuffle_partitions(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_
         warnings.warn(f"{need} shuffle partitions wanted for {size} bytes, {MAX_SHUFFLE_PARTITIONS} used: "
                       "partitions are larger than asked for", stacklevel=2)
         need = MAX_SHUFFLE_PARTITIONS
-    current = shuffle_partitions(spark)
-    if need > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(need))
-        return need
-    return current
+    return max(need, shuffle_partitions(df.sparkSession))
+
+
+def scale_shuffle_partitions(df, bytes_per_partition: int = DEFAULT_INPUT_BYTES_PER_PARTITION) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to :func:`partitions_for`; return the value in force.
+    The setting is only ever raised."""
+    need = partitions_for(df, bytes_per_partition)
+    if need > shuffle_partitions(df.sparkSession):
+        df.sparkSession.conf.set("spark.sql.shuffle.partitions", str(need))
+    return need
