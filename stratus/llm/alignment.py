@@ -16,6 +16,11 @@ With these most links are counted where they lie.  Pairs outside the list go thr
 each of them holds fewer than 1 / TOP of all irregular links, so no key of that join is hot.  A task holds one batch of
 texts and at most ``HELD`` pairs.
 
+Texts are cut before each space that follows a word character or ASCII punctuation.  Neither tokenizer has a token
+over such a place (A parts words there, and B has no piece with its space mark after another character, which
+:class:`Pair` makes sure of), so tokens, groups and links of a segment do not depend on its neighbours: the
+distinct segments of a batch are encoded, and those of up to ``LONG`` characters kept for later batches (twice ``CACHE`` and a batch's at most).
+
 Defined results: NULL and empty texts, and texts whose joined A or B bytes are not space + text (a
 piece model reads U+2581 as a space), have no tokens: zeros and an empty string instead of a hash.  Rows are kept as they are,
 repeated ones and NULL ids included; an empty table gives no rows; other columns do not matter, whatever their names.
@@ -24,6 +29,9 @@ Special tokens' strings inside texts are plain text.
 
 import hashlib
 import json
+import os
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +46,8 @@ ship(__name__)
 
 TOP = 65_536
 HELD = 500_000
+CACHE, LONG = 120_000, 48
+SEGMENT = re.compile(r"(?<=[\w!-~])(?= )")
 #: Rows of the first pass: a document, a task's regular counts, a task's pair counts.
 DOC, REGULAR, PAIRS = 0, 1, 2
 
@@ -54,6 +64,7 @@ class Pair:
     """Both tokenizers and what follows from their vocabularies."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -69,7 +80,10 @@ class Pair:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.a_size, self.b_size = (np.array([len(x) for x in v], dtype=np.int64) for v in (self.a_bytes, self.b_bytes))
-        first = {}
+        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(len(self.b_bytes))):
+            raise ValueError(f"{b_path} has pieces over a space: texts cannot be cut there")
+        self.space = self.b.piece_to_id("▁")
+        first, self.seen, self.before = {}, {}, {}
         for i, x in enumerate(self.b_bytes):
             first.setdefault(x, i)
         self.same = np.array([first.get(x, -1) for x in self.a_bytes], dtype=np.int64)
@@ -78,48 +92,80 @@ class Pair:
         self.marked = ([f"{i}," for i in range(na)] + [f"{i}|" for i in range(na)]
                        + [f"{i}," for i in range(nb)] + [f"{i};" for i in range(nb)])
 
-    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both; none where the tokens' bytes are not space + text."""
-        if not text:
-            return [], []
-        a = self.a.encode(" " + text, add_special_tokens=False).ids
-        b = self.b.encode(text)
-        whole = (" " + text).encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
-            return [], []
+    def encode(self, parts: list[str]) -> tuple[list, list]:
+        """Ids of both for texts that begin with the space that B adds."""
+        a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        b = [[self.space] if p == " " else ids for p, ids in zip(parts, self.b.encode([p[1:] for p in parts], num_threads=1))]
         return a, b
 
-    def align(self, a: list[int], b: list[int]):
-        """(linked A ids, linked B ids, whether each group is regular, groups as text)."""
-        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-        _, at_a, at_b = np.intersect1d(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), assume_unique=True, return_indices=True)
-        n_a, n_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
-        regular = (n_a == 1) & (n_b == 1) & (self.same[a[at_a]] == b[at_b])
+    def align(self, parts: list[str]) -> list[tuple | None]:
+        """(A tokens, B tokens, groups as text, regular A ids, irregular pairs as A id << 32 | B id) of each segment;
+        None where the tokens' bytes are not the segment's."""
+        ids_a, ids_b = self.encode(parts)
+        good, size = [], []
+        for k, (p, x, y) in enumerate(zip(parts, ids_a, ids_b)):
+            whole = p.encode()
+            if b"".join(map(self.a_bytes.__getitem__, x)) == whole == b"".join(map(self.b_bytes.__getitem__, y)):
+                good.append(k)
+                size.append(len(whole))
+        out: list[tuple | None] = [None] * len(parts)
+        if not good:
+            return out
+        n_a, n_b = [len(ids_a[k]) for k in good], [len(ids_b[k]) for k in good]
+        a = np.fromiter(chain.from_iterable(ids_a[k] for k in good), dtype=np.int64, count=sum(n_a))
+        b = np.fromiter(chain.from_iterable(ids_b[k] for k in good), dtype=np.int64, count=sum(n_b))
+        # one behind the other: both sides of a segment have the same bytes
+        ends, at_a, at_b = np.intersect1d(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), assume_unique=True,
+                                          return_indices=True)
+        in_a, in_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        regular = (in_a == 1) & (in_b == 1) & (self.same[a[at_a]] == b[at_b])
         # A's tokens of a group stand before its B tokens: each moves by the other side's earlier tokens
-        na, nb = len(self.a_bytes), len(self.b_bytes)
-        mark_a, mark_b = a.copy(), b + 2 * na
-        mark_a[at_a] += na
-        mark_b[at_b] += nb
+        all_a, all_b = len(self.a_bytes), len(self.b_bytes)
+        mark_a, mark_b = a.copy(), b + 2 * all_a
+        mark_a[at_a] += all_a
+        mark_b[at_b] += all_b
         order = np.empty(len(a) + len(b), dtype=np.int64)
-        order[np.arange(len(a)) + np.repeat(at_b + 1 - n_b, n_a)] = mark_a
-        order[np.arange(len(b)) + np.repeat(at_a + 1, n_b)] = mark_b
-        text = "".join(map(self.marked.__getitem__, order.tolist()))[:-1]
-        return a[at_a], b[at_b], regular, text
+        order[np.arange(len(a)) + np.repeat(at_b + 1 - in_b, in_a)] = mark_a
+        order[np.arange(len(b)) + np.repeat(at_a + 1, in_b)] = mark_b
+        text = list(map(self.marked.__getitem__, order.tolist()))
+        one, pairs = a[at_a[regular]].tolist(), ((a[at_a] << 32) | b[at_b])[~regular].tolist()
+        groups = np.searchsorted(ends, np.cumsum(size), side="right")  # up to each segment's end
+        upto_one = np.concatenate([[0], np.cumsum(regular)])[groups].tolist()
+        t = i = j = 0
+        for k, na, nb, n, i_end in zip(good, n_a, n_b, groups.tolist(), upto_one):
+            t_end, j_end = t + na + nb, n - i_end
+            out[k] = na, nb, "".join(text[t:t_end]), one[i:i_end], pairs[j:j_end]
+            t, i, j = t_end, i_end, j_end
+        return out
+
+    def segments(self, texts: list[str | None]) -> list[list[tuple]]:
+        """For each text what :meth:`align` gives for its segments; none where the tokens' bytes are not space + text."""
+        cut = [SEGMENT.split(" " + t) if t else [] for t in texts]
+        if len(self.seen) > CACHE:  # what the batches since the last time did not meet is forgotten
+            self.seen, self.before = {}, self.seen
+        seen, before, new = self.seen, self.before, []
+        for p in dict.fromkeys(chain.from_iterable(cut)):
+            if p not in seen:
+                if p in before:
+                    seen[p] = before[p]
+                else:
+                    new.append(p)
+        seen.update(zip(new, self.align(new)))
+        out = [list(map(seen.__getitem__, parts)) for parts in cut]
+        for p in new:
+            if len(p) > LONG:
+                del seen[p]
+        return [[] if None in parts else parts for parts in out]
 
 
 def pair_of(a_path: str, b_path: str) -> Pair:
     return worker_object(("token-pair", a_path, b_path), lambda: Pair(a_path, b_path))
 
 
-def counted(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None):
-    """Distinct pairs as (A ids, B ids, counts)."""
-    keys = (a << 32) | b
-    if n is None:
-        keys, n = np.unique(keys, return_counts=True)
-    else:
-        keys, back = np.unique(keys, return_inverse=True)
-        n = np.bincount(back, weights=n, minlength=len(keys)).astype(np.int64)
-    return keys >> 32, keys & 0xFFFFFFFF, n
+def counted(keys: np.ndarray, n: np.ndarray):
+    """Distinct keys and their added counts."""
+    keys, back = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(back, weights=n, minlength=len(keys)).astype(np.int64)
 
 
 LISTS = ("reg_a", "reg_n", "irr_a", "irr_b", "irr_n")
@@ -146,25 +192,30 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path:
                 [pa.array([what], pa.int32()), *(pa.nulls(1, t) for t in (pa.int64(), doc_type, pa.int64(), pa.int64(), pa.int64(), pa.string())),
                  *(pa.array([x], t) for x, t in zip(lists, types))], names)
 
+        def pairs_row():
+            keys, n = counted(*map(np.concatenate, zip(*held)))
+            return task_row(PAIRS, [[], [], keys >> 32, keys & 0xFFFFFFFF, n])
+
         for batch in batches:
             doc_type, rows = batch["doc"].type, []
-            for text in batch["text"]:
-                ids_a, ids_b = pair.encode(text.as_py())
-                if not ids_a:
+            for parts in pair.segments(batch["text"].to_pylist()):
+                if not parts:
                     rows.append((0, 0, 0, "", [], [], [], [], []))
                     continue
-                a, b, same, groups = pair.align(ids_a, ids_b)
-                reg_a, reg_n = np.unique(a[same], return_counts=True)
+                n_a, n_b, groups, same, irregular = zip(*parts)
+                one, pairs = (np.fromiter(chain.from_iterable(x), dtype=np.int64) for x in (same, irregular))
+                reg_a, reg_n = np.unique(one, return_counts=True)
+                keys, irr_n = np.unique(pairs, return_counts=True)
                 regular[reg_a] += reg_n
-                irr = counted(a[~same], b[~same])
-                held.append(irr)
-                size += len(irr[0])
-                rows.append((len(ids_a), len(ids_b), len(a), hashlib.sha256(groups.encode()).hexdigest(), reg_a, reg_n, *irr))
+                held.append((keys, irr_n))
+                size += len(keys)
+                sha = hashlib.sha256("".join(groups)[:-1].encode()).hexdigest()
+                rows.append((sum(n_a), sum(n_b), len(one) + len(pairs), sha, reg_a, reg_n, keys >> 32, keys & 0xFFFFFFFF, irr_n))
                 if size > HELD:
                     held = [counted(*map(np.concatenate, zip(*held)))]
                     size = len(held[0][0])
                     if size > HELD // 2:
-                        yield task_row(PAIRS, [[], [], *held[0]])
+                        yield pairs_row()
                         held, size = [], 0
             n = len(rows)
             cols = list(zip(*rows)) if rows else [()] * 9
@@ -177,7 +228,7 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path:
             some = np.flatnonzero(regular)
             yield task_row(REGULAR, [some, regular[some], [], [], []])
             if held:
-                yield task_row(PAIRS, [[], [], *counted(*map(np.concatenate, zip(*held)))])
+                yield pairs_row()
 
     return src.mapInArrow(run, schema)
 
