@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import calendar as cal
 from .functions import rules
-from .functions.rounding import round_doubles
+from .functions.rounding import half_up, round_doubles
 from .operators import eda, evaluate, index, monitor, summary
 from .plans import forecast as fc
 from .plans import oracle_sql as O
@@ -702,9 +702,7 @@ def _train_config(feats):
 def m_train_temperature(spark, sf):
     """Standardised linear regression and the random forest
     (reference settings) fitted on the chronological train split of the
-    hourly features; MAE / RMSE / R^2 per model on the test rows.  The boosted
-    baselines and final models live in ``plans.training``; their
-    one-iteration-at-a-time fits are exercised by the test suite."""
+    hourly features; MAE / RMSE / R^2 per model on the test rows."""
     from .plans import training as T
     feats = hourly_features(spark, sf)
     cfg = _train_config(feats)
@@ -794,22 +792,6 @@ def b17_chart(spark, sf):
     return rules.forecast_chart_rows(rows)
 
 
-@register("c6_top20_feature_importance")
-def c6_importance(spark, sf):
-    """The 20 most important features of the random-forest
-    temperature model (reference settings) fitted on the train split."""
-    from pyspark.ml.regression import RandomForestRegressor
-
-    from .plans import training as T
-    feats = hourly_features(spark, sf)
-    cfg = _train_config(feats)
-    data = T.prepare(feats, cfg)
-    rf = T.regressors(cfg, cfg.temp)["RandomForest"][0]
-    model = rf.fit(data.filter("is_train"))
-    assert isinstance(rf, RandomForestRegressor)
-    return T.feature_importance(model, cfg.features, 20)
-
-
 # ----------------------------------------------- sources, model tier, forecasts ---
 
 _OBS_CSV = ("tempC", "precipMM", "humidity", "cloudcover", "FeelsLikeC", "windspeedKmph")
@@ -898,6 +880,53 @@ def _model_data(spark, sf):
     return feats, cfg, T.prepare(feats, cfg)
 
 
+@register("c6_top20_feature_importance")
+def c6_importance(spark, sf):
+    """The 20 most important features of the final temperature model (mean split gains)."""
+    from .plans import training as T
+    _, cfg, data = _model_data(spark, sf)
+    return T.feature_importance(T.fit_final(data, cfg, ("temp",))["temp"], cfg.features, 20)
+
+
+@register("f4_first_round_splits", HOURLY_SPLIT_SQL + f"""
+
+, mean_ AS (SELECT avg(tempC) AS b, count(*) AS n FROM split WHERE is_train),
+long_ AS (UNPIVOT (SELECT tempC AS y_, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _HF_MODEL)} FROM split WHERE is_train)
+         ON {", ".join(_HF_MODEL)} INTO NAME feature VALUE x),
+sorted_ AS (SELECT feature, list(x ORDER BY x) AS l FROM long_ GROUP BY feature),
+cuts_ AS (SELECT DISTINCT feature, l[CAST(greatest(1, ceil(i / 256.0 * len(l))) AS INTEGER)] AS c, l[1] AS least
+         FROM sorted_, (SELECT unnest(range(256)) AS i)),
+sums_ AS (SELECT k.feature, k.c, sum(mean_.b - long_.y_) FILTER (WHERE long_.x < k.c) AS gl, count(*) FILTER (WHERE long_.x < k.c) AS hl,
+                sum(mean_.b - long_.y_) AS g, count(*) AS h
+         FROM cuts_ k JOIN long_ ON long_.feature = k.feature, mean_ WHERE k.c > k.least GROUP BY k.feature, k.c),
+gains_ AS (SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain FROM sums_)
+SELECT feature, {R('c', 6)} AS threshold, {R('gain', 4)} AS gain, CAST(hl AS DOUBLE) AS left_hessian FROM gains_
+QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 7) DESC, c) = 1 AND gain > 1e-7""")
+def f4_first_round_splits(spark, sf):
+    """for every feature the best first split of a boosted temperature model: threshold, gain and rows to the left."""
+    from .operators import boosting
+    from .plans import training as T
+    _, cfg, data = _model_data(spark, sf)
+    found = boosting.root_splits(data.filter("is_train"), cfg.features, cfg.temp, boosting.BoostConfig(**T.BOOST_BASELINE))
+    return round_doubles(found.where("gain > 1e-7").withColumn("gain", half_up("gain", 4)), 6)
+
+
+@register("f2_collinear_predictions", HOURLY_SPLIT_SQL + f"""
+, m AS (SELECT avg(humidity) AS a, avg(pressure) AS b, avg(tempC) AS y FROM split WHERE is_train),
+s AS (SELECT sum((humidity - a) * (humidity - a)) AS aa, sum((pressure - b) * (pressure - b)) AS bb,
+             sum((humidity - a) * (pressure - b)) AS ab, sum((humidity - a) * (tempC - y)) AS ay,
+             sum((pressure - b) * (tempC - y)) AS bs FROM split, m WHERE is_train)
+SELECT date_time, {R('y + (ay * bb - bs * ab) / (aa * bb - ab * ab) * (humidity - a) + (bs * aa - ay * ab) / (aa * bb - ab * ab) * (pressure - b)', 6)}
+       AS prediction FROM split, m, s WHERE NOT is_train""")
+def f2_collinear_predictions(spark, sf):
+    """least squares on inputs that hang together (a sum, a multiple and a constant among them), the test rows' predictions."""
+    from .operators import least_squares
+    rows = hourly_split(spark, sf, hourly_features(spark, sf)).withColumns({
+        "both": F.col("humidity") + F.col("pressure"), "twice": F.col("pressure") * 2.0, "same": F.lit(5.0)})
+    model = least_squares.fit(rows.filter("is_train"), ("humidity", "pressure", "both", "twice", "same"), "tempC")
+    return round_doubles(model.transform(rows.filter(~F.col("is_train"))).select("date_time", "prediction"), 6)
+
+
 @register("m_baselines_against_mean", _MEAN_SQL + f"""
 SELECT model, n_train, n_test, CAST({len(_HF_MODEL)} AS INTEGER) AS n_features,
        (SELECT {R('sqrt(avg((tempC - t) * (tempC - t)))', 6)} FROM split, size WHERE NOT is_train) AS mean_rmse, true AS beats_mean

@@ -69,24 +69,26 @@ def with_default_features(rows: DataFrame, features) -> DataFrame:
 
 
 def forecast(engineered: DataFrame, models: dict, features, horizons, ts: str = "date_time", key=None,
-             tiebreak=None) -> DataFrame:
-    """Score the future rows with all three models in one plan."""
-    from pyspark.ml.functions import vector_to_array
-
-    from .training import assembler
+             tiebreak=None, optional=()) -> DataFrame:
+    """Score the future rows with all three models in one plan.  A missing model is an error, unless its name
+    is in ``optional``: then its column is NULL."""
+    missing = [n for n in ("temp", "feels", "rain") if n not in models and n not in optional]
+    if missing:
+        raise ValueError(f"no model for {', '.join(missing)}")
     keys = [key] if isinstance(key, str) else list(key or [])
-    rows = with_default_features(future_rows(engineered, horizons, ts, key, tiebreak), features)
-    scored = assembler(features).transform(rows)
+    scored = with_default_features(future_rows(engineered, horizons, ts, key, tiebreak), features)
     for name in ("temp", "feels", "rain"):
         if name in models:
             scored = models[name].transform(scored)
-    prob = vector_to_array("rain_prob_vec")[1] * 100 if "rain" in models else F.lit(None).cast("double")
-    feels = F.col("feels_pred") if "feels" in models else F.lit(None).cast("double")
+    none = F.lit(None).cast("double")
+    prob = F.col("rain_probability") * 100 if "rain" in models else none
+    feels = F.col("feels_pred") if "feels" in models else none
+    temp = F.col("temp_pred") if "temp" in models else none
     carried = [(F.col(src).cast("int") if src in scored.columns else F.lit(d)).alias(out) for out, src, d in CARRIED]
     return scored.select(
         *keys, F.col("horizon_hours"),
         F.date_format("forecast_for", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        half_even(F.col("temp_pred"), 1).alias("temperature"),
+        half_even(temp, 1).alias("temperature"),
         half_even(feels, 1).alias("feels_like"),
         half_even(prob, 1).alias("rain_probability"),
         *carried)

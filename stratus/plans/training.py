@@ -1,4 +1,7 @@
-"""Model fitting and evaluation plan (F1-F8, F14-F16) on ``pyspark.ml``.
+"""Model fitting and evaluation plan.
+
+Least squares and boosting are :mod:`stratus.operators.least_squares` and :mod:`stratus.operators.boosting`,
+the forest is ``pyspark.ml``'s.
 
 The engineered table is indexed after the complete-case filter, split
 chronologically (first 80 % of each series train), checkpointed once to the
@@ -14,15 +17,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, index
+from ..operators import boosting, evaluate, index, least_squares
 from ..operators.summary import class_balance_weight
 from ..session import ensure_checkpoint_dir
 from ..sources.materialize import materialize
@@ -32,9 +32,11 @@ from ..sources.observations import read_column_list, write_column_list
 TRAIN_FRACTION = 0.8
 SEED = 42
 RF_PARAMS = dict(numTrees=100, maxDepth=12)
-BOOST_BASELINE = dict(maxIter=200, maxDepth=6, stepSize=0.1, subsamplingRate=0.8)
-BOOST_FINAL = dict(maxIter=300, maxDepth=6, stepSize=0.05, subsamplingRate=0.8)
-COLUMN_SAMPLE = "0.8"
+BOOST_BASELINE = dict(rounds=200, depth=6, rate=0.1, subsample=0.8, colsample=0.8, seed=SEED)
+BOOST_FINAL = dict(rounds=300, depth=6, rate=0.05, subsample=0.8, colsample=0.8, seed=SEED)
+# Best-first growth has other defaults: 31 leaves, no L2, a least hessian of 20 rows (1 each), all rows in
+# every tree (its row share only holds where a bagging frequency is set, and none is).
+LEAFWISE = dict(rounds=200, depth=6, rate=0.1, subsample=1.0, colsample=0.8, seed=SEED, leaves=31, l2=0.0, min_hessian=20.0)
 ROWS_PER_PARTITION = 500_000
 
 
@@ -45,8 +47,8 @@ class TrainConfig:
     feels: str | None = "FeelsLikeC"
     rain: str = "will_rain"
     key: tuple = ()
-    baseline_iters: int = BOOST_BASELINE["maxIter"]
-    final_iters: int = BOOST_FINAL["maxIter"]
+    baseline_iters: int = BOOST_BASELINE["rounds"]
+    final_iters: int = BOOST_FINAL["rounds"]
     rf_trees: int = RF_PARAMS["numTrees"]
     models: tuple = ("LinearRegression", "RandomForest", "GBT", "GBTLeafwise")
     extra: dict = field(default_factory=dict)
@@ -65,39 +67,10 @@ def assembler(features) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
-def regressors(cfg: TrainConfig, label: str) -> dict:
-    """The four temperature baselines (F2-F5); F1 scaling precedes the linear model."""
-    out = {}
-    if "LinearRegression" in cfg.models:
-        out["LinearRegression"] = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-                                   LinearRegression(featuresCol="scaled", labelCol=label, regParam=0.0,
-                                                    solver="normal")]
-    if "RandomForest" in cfg.models:
-        # Deep trees: cache node ids and let one pass grow a whole level.
-        out["RandomForest"] = [RandomForestRegressor(labelCol=label, numTrees=cfg.rf_trees, maxDepth=RF_PARAMS["maxDepth"],
-                                                     featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True,
-                                                     maxMemoryInMB=1024)]
-    if "GBT" in cfg.models:
-        out["GBT"] = [GBTRegressor(labelCol=label, maxIter=cfg.baseline_iters, maxDepth=6, stepSize=0.1,
-                                   subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED)]
-    if "GBTLeafwise" in cfg.models:
-        # Leaf-wise growth has no pyspark.ml counterpart; a second boosted
-        # configuration (finer split candidates) stands in for it.
-        out["GBTLeafwise"] = [GBTRegressor(labelCol=label, maxIter=cfg.baseline_iters, maxDepth=6, stepSize=0.1,
-                                           subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, maxBins=255,
-                                           seed=SEED)]
-    return out
-
-
-def final_regressor(label: str, iters: int, prediction_col: str) -> GBTRegressor:
-    return GBTRegressor(labelCol=label, predictionCol=prediction_col, maxIter=iters, maxDepth=6, stepSize=0.05,
-                        subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED)
-
-
-def rain_classifier(label: str, iters: int) -> GBTClassifier:
-    clf = GBTClassifier(labelCol=label, weightCol="_w", predictionCol="rain_pred", maxIter=iters, maxDepth=6,
-                        stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED)
-    return clf.setProbabilityCol("rain_prob_vec").setRawPredictionCol("rain_raw")
+def forest(cfg: TrainConfig, label: str) -> RandomForestRegressor:
+    # Deep trees: cache node ids and let one pass grow a whole level.
+    return RandomForestRegressor(labelCol=label, numTrees=cfg.rf_trees, maxDepth=RF_PARAMS["maxDepth"],
+                                 featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True, maxMemoryInMB=1024)
 
 
 def prepare(engineered: DataFrame, cfg: TrainConfig) -> DataFrame:
@@ -127,19 +100,34 @@ def scaling(data: DataFrame, features) -> DataFrame:
 
 
 def fit_baselines(data: DataFrame, cfg: TrainConfig) -> dict:
-    train = data.filter("is_train")
-    return {name: Pipeline(stages=stages).fit(train) for name, stages in regressors(cfg, cfg.temp).items()}
-
-
-def fit_final(data: DataFrame, cfg: TrainConfig) -> dict:
+    """The four temperature baselines."""
+    train, label = data.filter("is_train"), cfg.temp
+    cuts = boosting.cut_points(train, cfg.features) if {"GBT", "GBTLeafwise"} & set(cfg.models) else None
+    makers = {
+        "LinearRegression": lambda: least_squares.fit(train, cfg.features, label),
+        "RandomForest": lambda: forest(cfg, label).fit(train),
+        "GBT": lambda: boosting.fit(train, cfg.features, label, boosting.BoostConfig(**{**BOOST_BASELINE, "rounds": cfg.baseline_iters}),
+                                    cuts=cuts),
+        "GBTLeafwise": lambda: boosting.fit(train, cfg.features, label, boosting.BoostConfig(**{**LEAFWISE, "rounds": cfg.baseline_iters}),
+                                            cuts=cuts),
+    }
+    return {name: makers[name]() for name in cfg.models}
+
+
+def fit_final(data: DataFrame, cfg: TrainConfig, names=("temp", "feels", "rain")) -> dict:
     """Final temperature, feels-like and class-weighted rain models."""
     train = data.filter("is_train")
-    out = {"temp": final_regressor(cfg.temp, cfg.final_iters, "temp_pred").fit(train)}
-    if cfg.feels and cfg.feels in data.columns:
-        out["feels"] = final_regressor(cfg.feels, cfg.final_iters, "feels_pred").fit(train)
-    w = class_balance_weight(train, cfg.rain, None).select("scale_pos_weight").scalar()
-    weighted = train.withColumn("_w", F.when(F.col(cfg.rain) == 1, F.coalesce(w, F.lit(1.0))).otherwise(1.0))
-    out["rain"] = rain_classifier(cfg.rain, cfg.final_iters).fit(weighted)
+    settings = {**BOOST_FINAL, "rounds": cfg.final_iters}
+    cuts = boosting.cut_points(train, cfg.features)
+    out = {}
+    for name, label in (("temp", cfg.temp), ("feels", cfg.feels)):
+        if name in names and label and label in data.columns:
+            out[name] = boosting.fit(train, cfg.features, label, boosting.BoostConfig(**settings), prediction=f"{name}_pred", cuts=cuts)
+    if "rain" in names:
+        w = class_balance_weight(train, cfg.rain, None).select("scale_pos_weight").scalar()
+        weighted = train.withColumn("_w", F.when(F.col(cfg.rain) == 1, F.coalesce(w, F.lit(1.0))).otherwise(1.0))
+        out["rain"] = boosting.fit(weighted, cfg.features, cfg.rain, boosting.BoostConfig(**settings, objective="logistic"), "_w",
+                                   "rain_pred", "rain_probability", cuts)
     return out
 
 
@@ -149,8 +137,6 @@ def score(models: dict, data: DataFrame) -> DataFrame:
     for name in ("temp", "feels", "rain"):
         if name in models:
             out = models[name].transform(out)
-    if "rain" in models:
-        out = out.withColumn("rain_probability", vector_to_array("rain_prob_vec")[1])
     return out
 
 
@@ -168,20 +154,21 @@ def baseline_metrics(models: dict, data: DataFrame, label: str) -> DataFrame:
 
 
 def feature_importance(model, features, k: int | None = 20):
-    """importance per feature name, largest first (optionally top k)."""
+    """importance per feature name, largest first (optionally top k): a boosted model's mean split gains,
+    a forest's own measure."""
     spark = SparkSession.getActiveSession()
-    values = model.featureImportances.toArray().tolist()
+    values = model.importances() if isinstance(model, boosting.BoostedModel) else model.featureImportances.toArray().tolist()
     df = spark.createDataFrame(list(zip(list(features), [float(v) for v in values])), "feature string, importance double")
     ordered = df.orderBy(F.col("importance").desc(), "feature")
     return ordered.limit(k) if k else ordered
 
 
 def save(models: dict, path: str, features) -> None:
-    """A4: persist every fitted model under ``path/<name>``, with the ordered list of its inputs:
-    models know them by position only."""
-    write_column_list(SparkSession.getActiveSession(), features, path)
+    """A4: persist every boosted model under ``path/<name>``, with the ordered list of the inputs."""
+    spark = SparkSession.getActiveSession()
+    write_column_list(spark, features, path)
     for name, m in models.items():
-        m.write().overwrite().save(f"{path.rstrip('/')}/{name}")
+        m.save(spark, f"{path.rstrip('/')}/{name}")
 
 
 def load_features(path: str) -> list[str]:
@@ -197,13 +184,9 @@ def _exists(path: str) -> bool:
 
 def load(path: str, names=("temp", "feels", "rain"), optional=("feels",)) -> dict:
     """Fitted models by name.  A name in ``optional`` may be missing; any other failure is raised."""
-    from pyspark.ml.classification import GBTClassificationModel
-    from pyspark.ml.regression import GBTRegressionModel
-    out = {}
-    loaders = {"temp": GBTRegressionModel, "feels": GBTRegressionModel, "rain": GBTClassificationModel}
+    spark, out = SparkSession.getActiveSession(), {}
     for name in names:
         where = f"{path.rstrip('/')}/{name}"
-        if name in optional and not _exists(where):
-            continue
-        out[name] = loaders.get(name, PipelineModel).load(where)
+        if name not in optional or _exists(where):
+            out[name] = boosting.BoostedModel.load(spark, where)
     return out

@@ -45,6 +45,8 @@ def test_final_models_forecast_and_reload(spark, prepared):
     rows = out.orderBy("horizon_hours").collect()
     assert [r.horizon_hours for r in rows] == [1, 3, 6]
     assert all(0.0 <= r.rain_probability <= 100.0 for r in rows)
+    with pytest.raises(ValueError, match="rain"):
+        fc.forecast(feats, {k: m for k, m in models.items() if k != "rain"}, cfg.features, [1])
     hourly = fc.forecast(feats, models, cfg.features, fc.hourly_horizons(24))
     assert hourly.count() == 24
     path = tempfile.mkdtemp(prefix="stratus-models-")
