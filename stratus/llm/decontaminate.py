@@ -21,10 +21,17 @@ five) are simulated on the shortest items of a class, the hardest, and walks of
 ``PER_WALK`` repetitions are added, as many as it takes, until those of every
 length are found with the target's probability.
 
-Scale.  One pass over the documents, no shuffle: the items travel in blocks of
-at most ``block_bytes`` of text (a stated query set against all rows, in
-blocks).  Words are compared as words in the verification; hashes only find
-candidates.
+Windows in which too few words occur in any item are left out before the walks:
+a running sum over one bitmap lookup a word tells.  The simulation leaves the
+same windows out, so the target holds with this filter.
+
+Scale.  One pass over the documents for each block of items, no shuffle: the
+items travel in blocks of at most ``block_bytes`` of text (a stated query set
+against all rows, in blocks), whose index takes some hundred times as much.
+With more than one block the rows are written once and each block's leaks are
+written on their own, so a worker holds one index at a time.  The index is sent as
+bytes that hold its classes too: workers need no copy of this package.  Words are
+compared as words in the verification; hashes only find candidates.
 
 Defined results: NULL texts are empty; items of fewer than ``min_words`` words
 are too short to be evidence and are skipped; a repeated item is reported
@@ -32,14 +39,20 @@ under each of its ids, a repeated document once per row; empty tables give no
 rows; extra columns are ignored.
 """
 
+import pickle
+import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyspark
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, small_batches, table, text_or_empty
+from ..sources.materialize import materialize
+from .common import fresh, ship, small_batches, table, text_or_empty
 
 ship(__name__)
 
@@ -107,6 +120,11 @@ def most_edits(n: int, share: float) -> int:
     return int(share * n + 1e-9)
 
 
+def known_words(m: int, similarity: float) -> int:
+    """Words of a window of ``m`` that have to occur in the items: half as many again as edits may be missing."""
+    return m - max(1, int(1.5 * (1 - similarity) * m + 1e-9))
+
+
 def edited(words: np.ndarray, share: float, rng) -> np.ndarray:
     """``words`` with ``share`` of them replaced, deleted or doubled by new ones."""
     out = list(words)
@@ -117,7 +135,26 @@ def edited(words: np.ndarray, share: float, rng) -> np.ndarray:
     return np.array(out, dtype=np.uint32)
 
 
-def shared(walk: Walk, pairs: list, stride: int, firsts: list) -> np.ndarray:
+class Vocabulary:
+    """Which word hashes occur in the items: a bitmap that may say yes too often, never no."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = min(max(16 * len(hashes), 1).bit_length(), FILTER_BITS[1])
+        self.shift = np.uint32(32 - bits)
+        self.seen = np.zeros(1 << bits, dtype=bool)
+        self.seen[hashes >> self.shift] = True
+
+    def known(self, symbols: np.ndarray) -> np.ndarray:
+        """Running number of known words before each position."""
+        return np.concatenate([[0], np.cumsum(self.seen[symbols >> self.shift])])
+
+
+def within(known: np.ndarray, starts: np.ndarray, m: int, least: int) -> np.ndarray:
+    """The windows with at least ``least`` known words; ``known`` may end before a window does."""
+    return starts[known[np.minimum(starts + m, len(known) - 1)] - known[starts] >= least]
+
+
+def shared(walk: Walk, pairs: list, stride: int, firsts: list, words: Vocabulary, least: int) -> np.ndarray:
     """For each pair (item, edited item) whether they share a signature of ``walk``."""
     def laid(arrays, starts):
         spare = np.zeros(2 * walk.m, dtype=np.uint32)
@@ -128,15 +165,19 @@ def shared(walk: Walk, pairs: list, stride: int, firsts: list) -> np.ndarray:
         return sig ^ (who.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), who
 
     own, _ = laid([a for a, _ in pairs], [np.arange(len(a) - walk.m + 1) for a, _ in pairs])
-    near, who = laid([b for _, b in pairs], [np.arange(f, max(f + 1, len(b) - walk.m + 1), stride)
-                                             for (_, b), f in zip(pairs, firsts)])
+    windows = [within(words.known(b), np.arange(f, max(f + 1, len(b) - walk.m + 1), stride), walk.m, least)
+               for (_, b), f in zip(pairs, firsts)]
     found = np.zeros(len(pairs), dtype=bool)
+    if not sum(map(len, windows)):
+        return found
+    near, who = laid([b for _, b in pairs], windows)
     for a, b in zip(own, near):
         found[who[np.isin(b, a)]] = True
     return found
 
 
-def walks_for(items: list[np.ndarray], m: int, stride: int, similarity: float, target: float, seed: int) -> list[Walk]:
+def walks_for(items: list[np.ndarray], m: int, stride: int, similarity: float, target: float, seed: int,
+              words: Vocabulary, least: int) -> list[Walk]:
     """Walks until items edited up to the limit are found with probability ``target`` (and a standard error)
     at each of the shortest lengths; an error if more walks find nothing new before that."""
     rng = np.random.default_rng([seed, m, 1])
@@ -151,7 +192,7 @@ def walks_for(items: list[np.ndarray], m: int, stride: int, similarity: float, t
             raise ValueError(f"a recall of {target} at similarity {similarity} is out of reach for windows of {m} words: {min(rates):.3f}")
         walks.append(Walk(m, PER_WALK, seed + 7 * len(walks)))
         for pairs, firsts, found in simulated:
-            found |= shared(walks[-1], pairs, stride, firsts)
+            found |= shared(walks[-1], pairs, stride, firsts, words, least)
         before, rates = rates, [found.mean() for _, _, found in simulated]
         idle = idle + 1 if rates == before else 0
         short = any(r - (r * (1 - r) / SIMULATED) ** 0.5 < target for r in rates)
@@ -191,6 +232,7 @@ class Index:
     def __init__(self, items: list[tuple], similarity: float, target: float, seed: int, min_words: int):
         self.similarity = similarity
         self.items = [(i, w) for i, t in items if len(w := words_of(t or "")) >= min_words]
+        self.words = Vocabulary(np.unique(hashes_of([w for _, words in self.items for w in words])))
         order = sorted(range(len(self.items)), key=lambda k: len(self.items[k][1]))
         self.classes = []
         while order:
@@ -205,7 +247,14 @@ class Index:
         m = n - 2 * stride + 1
         arrays = {k: hashes_of(self.items[k][1]) for k in own}
         spare, indexed = np.zeros(m, dtype=np.uint32), []
-        for walk in walks_for(list(arrays.values()), m, stride, self.similarity, target, seed):
+        for least in range(known_words(m, self.similarity), -1, -1):  # fewer where the target is out of reach
+            try:
+                walks = walks_for(list(arrays.values()), m, stride, self.similarity, target, seed, self.words, least)
+                break
+            except ValueError:
+                if not least:
+                    raise
+        for walk in walks:
             sigs, who, offs = [], [], []
             for k, a in arrays.items():
                 starts = np.arange(len(a) - m + 1, dtype=np.int32)
@@ -220,17 +269,18 @@ class Index:
             seen = np.zeros(1 << (64 - int(shift)), dtype=bool)
             seen[(sig >> shift).astype(np.int64)] = True
             indexed.append((walk, sig[by], who[by], offs[by], seen, shift))
-        return m, stride, indexed
+        return m, stride, least, indexed
 
     def limit(self, n: int) -> int:
         return most_edits(n, 1 - self.similarity)
 
     def _candidates(self, symbols: np.ndarray, total: int):
         """(item, document word at which the item would begin), without repeats."""
-        found = set()
-        for m, stride, walks in self.classes:
-            for first in range(0, total, stride * WINDOWS_AT_ONCE):
-                starts = np.arange(first, min(total, first + stride * WINDOWS_AT_ONCE), stride)
+        found, known = set(), self.words.known(symbols)
+        for m, stride, least, walks in self.classes:
+            likely = within(known, np.arange(0, total, stride), m, least)
+            for first in range(0, len(likely), WINDOWS_AT_ONCE):
+                starts = likely[first:first + WINDOWS_AT_ONCE]
                 for walk, sig, who, offs, seen, shift in walks:
                     rows = walk.signatures(symbols, starts)
                     rep, may = np.nonzero(seen[(rows >> shift).astype(np.int64)])
@@ -249,7 +299,7 @@ class Index:
         best: list[dict] = [{} for _ in texts]
         if not words or not self.classes:
             return [[] for _ in texts]
-        spare = np.zeros(2 * max(m for m, _, _ in self.classes), dtype=np.uint32)
+        spare = np.zeros(2 * max(c[0] for c in self.classes), dtype=np.uint32)
         symbols, ends = np.concatenate([hashes_of(words), spare]), np.array(ends)
         for k, begin in sorted(self._candidates(symbols, len(words))):
             item_id, item = self.items[k]
@@ -275,20 +325,27 @@ class Index:
         return [[(h[3], h[0], h[4], h[1], h[2]) for _, h in sorted(b.items())] for b in best]
 
 
+LEAK = "array<struct<item_id:{},distance:int,item_words:int,first_word:long,end_word:long>>"
+
+
 def leak_column(text: Column, items: list[tuple], id_type: str, similarity: float, target: float, seed: int,
                 min_words: int, spark) -> Column:
-    index = spark.sparkContext.broadcast(Index(items, similarity, target, seed, min_words))
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(Index(items, similarity, target, seed, min_words)))
+    key = uuid.uuid4().hex
 
-    @F.pandas_udf(f"array<struct<item_id:{id_type},distance:int,item_words:int,first_word:long,end_word:long>>")
+    @F.pandas_udf(LEAK.format(id_type))
     def run(texts: pd.Series) -> pd.Series:
-        out, batch, size = [], [], 0
+        held = pyspark.__dict__.setdefault("_stratus_benchmark_index", [None, None])
+        if held[0] != key:  # one index a worker
+            held[:] = key, pickle.loads(sent.value)
+        index, out, batch, size = held[1], [], [], 0
         for t in texts:
             if batch and size + len(t) > _CHUNK:
-                out += index.value.search(batch)
+                out += index.search(batch)
                 batch, size = [], 0
             batch.append(t)
             size += len(t)
-        out += index.value.search(batch)
+        out += index.search(batch)
         return pd.Series([[dict(zip(("item_id", "distance", "item_words", "first_word", "end_word"), h)) for h in hits]
                           for hits in out], dtype=object)
 
@@ -311,13 +368,26 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: i
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text", similarity: float = 0.8, target_recall: float = 0.95, seed: int = 11,
-               min_words: int = 5, block_bytes: int = 8_000_000, name: str = "leaks") -> DataFrame:
+               min_words: int = 5, block_bytes: int = 400_000, name: str = "leaks") -> DataFrame:
     """``docs`` with an array column ``name`` of the benchmark items each text holds."""
     kind = benchmark.schema[item_id].dataType.simpleString()
-    columns = [leak_column(text_or_empty(text_col), b, kind, similarity, target_recall, seed, min_words, docs.sparkSession)
-               for b in item_blocks(benchmark, item_id, item_text, block_bytes)]
-    none = F.array().cast(f"array<struct<item_id:{kind},distance:int,item_words:int,first_word:long,end_word:long>>")
-    return small_batches(docs).withColumn(name, F.concat(*columns) if columns else none)
+    settings = kind, similarity, target_recall, seed, min_words, docs.sparkSession
+    later = item_blocks(benchmark, item_id, item_text, block_bytes)
+    first, second = next(later, None), next(later, None)
+    if first is None:
+        return docs.withColumn(name, F.array().cast(LEAK.format(kind)))
+    if second is None:
+        return small_batches(docs).withColumn(name, leak_column(text_or_empty(text_col), first, *settings))
+    row, of, hit = (fresh(docs, c) for c in ("_leak_row", "_leak_of", "_leak_hits"))
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "leak-rows")
+    found = None
+    for block in chain((first, second), later):
+        hits = small_batches(rows).select(row, leak_column(text_or_empty(text_col), block, *settings).alias(hit))
+        hits = materialize(hits, "leaks").where(F.size(hit) > 0)
+        found = hits if found is None else found.unionByName(hits)
+    found = found.groupBy(F.col(row).alias(of)).agg(F.flatten(F.collect_list(hit)).alias(hit))
+    out = rows.join(found, F.col(row) == F.col(of), "left")
+    return out.withColumn(name, F.coalesce(hit, F.array().cast(LEAK.format(kind)))).select(*docs.columns, name)
 
 
 def op5_benchmark_decontamination(spark, sf_dir):
