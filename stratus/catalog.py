@@ -310,6 +310,29 @@ def e4_describe(spark, sf):
     return eda.describe(A.obs_hourly(spark, sf), _DESCRIBE_COLS)
 
 
+_ROW_DESCRIBE = ("tempC", "humidity", "precipMM")
+
+
+@register("e4_describe_rows", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, {R(f'avg({c})', 6)} AS mean, {R(f'stddev_samp({c})', 6)} AS std, "
+    f"{R(f'min({c})', 6)} AS min, {R(f'quantile_cont({c}, 0.25)', 6)} AS p25, {R(f'quantile_cont({c}, 0.5)', 6)} AS p50, "
+    f"{R(f'quantile_cont({c}, 0.75)', 6)} AS p75, {R(f'max({c})', 6)} AS max FROM obs_rows" for c in _ROW_DESCRIBE), "obs_rows"))
+def e4_describe_rows(spark, sf):
+    """E4 over every lineitem row."""
+    return round_doubles(eda.describe(A.obs_rows(spark, sf), _ROW_DESCRIBE, digits=8), 6)
+
+
+@register("e13_quantiles_rows", with_views("""
+SELECT q, quantile_cont(l_extendedprice, q) AS price FROM (SELECT unnest([0.001, 0.01, 0.5, 0.99, 0.999]) AS q), obs_rows GROUP BY q""".replace(
+    "quantile_cont(l_extendedprice, q)", "CASE " + " ".join(
+        f"WHEN q = {q} THEN {R(f'(SELECT quantile_cont(l_extendedprice, {q}) FROM obs_rows)', 6)}" for q in (0.001, 0.01, 0.5, 0.99, 0.999)) + " END"), "obs_rows"))
+def e13_quantiles_rows(spark, sf):
+    """E13's exact quantiles over every lineitem row, on a column of many distinct values."""
+    from .operators.quantiles import exact_quantiles
+    q = exact_quantiles(A.obs_rows(spark, sf), ["l_extendedprice"], (0.001, 0.01, 0.5, 0.99, 0.999))
+    return round_doubles(q.select("q", F.col("value").alias("price")), 6)
+
+
 @register("e5_rain_stats", with_views(f"""
 SELECT count(*) FILTER (WHERE precipMM > 0) AS rain_hours,
        {R('avg(CAST(coalesce(precipMM > 0, false) AS INTEGER))', 6)} AS rain_share,

@@ -1,7 +1,7 @@
 """Exploratory statistics.
 
-Each function is one aggregation plan: partial aggregates on the map side, a
-single small shuffle, no collect.  Column names are parameters; defaults are
+Most functions are one aggregation plan: partial aggregates on the map side, a
+single small shuffle, no collect of rows.  Column names are parameters; defaults are
 the raw observation names.  pandas semantics kept where they differ from SQL:
 ``groupby`` drops NULL keys, ``std`` is the sample deviation, a missing value
 compares false, correlations are pairwise-complete.
@@ -9,8 +9,6 @@ compares false, correlations are pairwise-complete.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +16,9 @@ from pyspark.sql import types as T
 from ..functions.calendar import MONSOON_MONTHS, month_name, week_ending_sunday
 from ..functions.rounding import half_even, half_up
 from ..functions.rules import nan_to_null, numeric_columns
-from ..session import scale_shuffle_partitions
+from ..sources.materialize import materialize
+from .index import _free
+from .moments import pairwise_correlations
 from .quantiles import exact_quantiles
 
 # Fixed values that must equal the reference's results.
@@ -37,16 +37,6 @@ def _missing(df: DataFrame, c: str):
     return cond | F.isnan(F.col(c)) if _is_float(df, c) else cond
 
 
-def _pairwise_corr(x, y):
-    """Pearson r over rows where both are present; NULL for a constant column
-    (pandas: NaN) instead of an ANSI divide-by-zero error."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    xs, ys = F.when(both, F.col(x)), F.when(both, F.col(y))
-    cov = F.covar_samp(xs, ys)
-    denom = F.stddev_samp(xs) * F.stddev_samp(ys)
-    return F.when(denom > 0, F.try_divide(cov, denom))
-
-
 def _unpivot(wide: DataFrame, names: list[str], key: str, value: str, value_type: str) -> DataFrame:
     cols = [F.col(n).cast(value_type).alias(n) for n in names]
     return wide.select(*cols).unpivot([], names, key, value)
@@ -70,10 +60,19 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows repeating an earlier identical row (NULL equals NULL)."""
-    scale_shuffle_partitions(df)  # whole rows are shuffled
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
+    """Rows repeating an earlier identical row (NULL equals NULL, NaN equals NaN).
+
+    128 bits of hash a row are shuffled.  Only rows whose hash occurs twice or more are then
+    compared by value: their hashes are joined back (broadcast by AQE while few) and grouped whole.
+    """
+    names = df.columns
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in names])  # a hash passes over NULLs
+    h1, h2 = (F.xxhash64(F.lit(seed), nulls, *names) for seed in (1, 2))
+    a, b = _free(df, "_hash_a"), _free(df, "_hash_b")
+    hashed = df.withColumns({a: h1, b: h2})
+    again = materialize(hashed.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(a, b), "repeated-hashes")
+    rows = hashed.join(again, [a, b], "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -132,11 +131,10 @@ def monsoon_share(df: DataFrame, precip: str = "precipMM", ts: str = "date_time"
 
 
 def correlations_with(df: DataFrame, target: str = "tempC", columns=None) -> DataFrame:
-    """Pearson r of every numeric column against ``target`` (long form)."""
-    df = nan_to_null(df)
+    """Pearson r of every numeric column against ``target`` (long form), NULL for a constant column."""
     cols = list(columns) if columns else numeric_columns(df)
-    wide = df.agg(*[_pairwise_corr(c, target).alias(c) for c in cols])
-    return _unpivot(wide, cols, "column", "r", "double")
+    found = pairwise_correlations(df, list(dict.fromkeys([*cols, target])))
+    return found.where((F.col("y") == target) & F.col("x").isin(*cols)).select(F.col("x").alias("column"), "r")
 
 
 def top_correlations(df: DataFrame, target: str = "tempC", k: int = TOP_CORRELATIONS, columns=None) -> DataFrame:
@@ -150,12 +148,9 @@ def top_correlations(df: DataFrame, target: str = "tempC", k: int = TOP_CORRELAT
 
 def correlation_matrix(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
     """Strict lower triangle of the correlation matrix as (x, y, r)."""
-    df = nan_to_null(df)
     present = [c for c in columns if c in df.columns]
-    pairs = [(present[i], present[j]) for j, i in combinations(range(len(present)), 2)]
-    wide = df.agg(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"),
-                             _pairwise_corr(x, y).alias("r")).alias(f"{x}__{y}") for x, y in pairs])
-    return wide.select(F.explode(F.array(*[F.col(f"{x}__{y}") for x, y in pairs])).alias("s")).select("s.*")
+    place = F.create_map(*[v for i, c in enumerate(present) for v in (F.lit(c), F.lit(i))])
+    return pairwise_correlations(df, present).where(place[F.col("x")] > place[F.col("y")]).select("x", "y", "r")
 
 
 def monthly_temperature(df: DataFrame, temp: str = "tempC", ts: str = "date_time") -> DataFrame:

@@ -11,7 +11,7 @@ ever routing the series through one task:
 2. Inside a partition ``monotonically_increasing_id`` encodes
    (partition id, position in partition).
 3. The sorted, tagged rows are written once to the shared checkpoint folder
-   (the upstream plan is not run twice; lineage is cut).
+   (lineage is cut; the upstream plan runs once for the sample and once for the write).
 4. Per-partition row counts form a table with one row per partition, a size
    fixed by the partition count and not by the data.  A running sum over it
    gives each partition's starting offset; it is broadcast back.
@@ -22,6 +22,8 @@ executor recomputes the same indices.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,14 @@ def _as_list(cols) -> list[str]:
     return list(cols)
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def with_row_index(df: DataFrame, order_by, key=None, tiebreak=None, index_col: str = "row_idx",
                    key_index_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``index_col``: global 0-based position in (key, order_by, tiebreak) order.
@@ -110,15 +120,24 @@ def chrono_split(indexed: DataFrame, fraction: float = 0.8, key=None, index_col:
 
 
 def latest(df: DataFrame, ts: str = "date_time", key=None, tiebreak=None) -> DataFrame:
-    """Last row (by time, then tie-break) per series, via ``max_by``: only one row per series and task
-    is shuffled.  With a key the partial aggregate sorts each task's rows by the key."""
-    keys = _as_list(key)
-    scale_shuffle_partitions(df)
-    ordering = F.struct(*[F.col(c) for c in [ts] + _as_list(tiebreak)])
-    payload = [c for c in df.columns if c not in keys]
-    row = F.max_by(F.struct(*payload), ordering).alias("_row")
-    agg = df.groupBy(*keys).agg(row) if keys else df.agg(row)
-    return agg.select(*keys, "_row.*")
+    """Last row (by time, then tie-break) per series.
+
+    With a key the largest time alone is aggregated (a hash aggregate, one row per series and task is shuffled) and
+    joined back; AQE broadcasts that table while it is small.  Only the rows at their series' last time are then ranked
+    by the tie-break.  Without a key it is one ``max_by``.
+    """
+    keys, tb = _as_list(key), _as_list(tiebreak)
+    if not keys:
+        ordering = F.struct(*[F.col(c) for c in [ts] + tb])
+        return df.agg(F.max_by(F.struct(*df.columns), ordering).alias("_row")).select("_row.*")
+    names = {c: _free(df, f"_last_{i}") for i, c in enumerate([*keys, ts])}
+    nth = _free(df, "_nth")
+    last = df.groupBy(*keys).agg(F.max(ts).alias(names[ts])).withColumnsRenamed({k: names[k] for k in keys})
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    rows = df.join(last, reduce(lambda x, y: x & y, same)).select(*df.columns)
+    order = [F.col(c).desc() for c in tb] or [F.lit(1)]
+    ranked = rows.withColumn(nth, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(nth) == 1).select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def recent(df: DataFrame, n: int = 72, ts: str = "date_time", tiebreak=None) -> DataFrame:
