@@ -99,8 +99,8 @@ class Pair:
         return a, b
 
     def align(self, parts: list[str]) -> list[tuple | None]:
-        """(A tokens, B tokens, groups as text, regular A ids, irregular pairs as A id << 32 | B id) of each segment;
-        None where the tokens' bytes are not the segment's."""
+        """(A tokens, B tokens, groups as text, regular A ids, irregular pairs as A id << 32 | B id; both as int64 bytes)
+        of each segment; None where the tokens' bytes are not the segment's."""
         ids_a, ids_b = self.encode(parts)
         good, size = [], []
         for k, (p, x, y) in enumerate(zip(parts, ids_a, ids_b)):
@@ -128,13 +128,14 @@ class Pair:
         order[np.arange(len(a)) + np.repeat(at_b + 1 - in_b, in_a)] = mark_a
         order[np.arange(len(b)) + np.repeat(at_a + 1, in_b)] = mark_b
         text = list(map(self.marked.__getitem__, order.tolist()))
-        one, pairs = a[at_a[regular]].tolist(), ((a[at_a] << 32) | b[at_b])[~regular].tolist()
+        # kept as bytes: objects that the garbage collector need not visit
+        one, pairs = a[at_a[regular]].tobytes(), ((a[at_a] << 32) | b[at_b])[~regular].tobytes()
         groups = np.searchsorted(ends, np.cumsum(size), side="right")  # up to each segment's end
         upto_one = np.concatenate([[0], np.cumsum(regular)])[groups].tolist()
         t = i = j = 0
         for k, na, nb, n, i_end in zip(good, n_a, n_b, groups.tolist(), upto_one):
             t_end, j_end = t + na + nb, n - i_end
-            out[k] = na, nb, "".join(text[t:t_end]), one[i:i_end], pairs[j:j_end]
+            out[k] = na, nb, "".join(text[t:t_end]), one[8 * i:8 * i_end], pairs[8 * j:8 * j_end]
             t, i, j = t_end, i_end, j_end
         return out
 
@@ -203,7 +204,7 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path:
                     rows.append((0, 0, 0, "", [], [], [], [], []))
                     continue
                 n_a, n_b, groups, same, irregular = zip(*parts)
-                one, pairs = (np.fromiter(chain.from_iterable(x), dtype=np.int64) for x in (same, irregular))
+                one, pairs = (np.frombuffer(b"".join(x), dtype=np.int64) for x in (same, irregular))
                 reg_a, reg_n = np.unique(one, return_counts=True)
                 keys, irr_n = np.unique(pairs, return_counts=True)
                 regular[reg_a] += reg_n
