@@ -4,18 +4,20 @@ Three fixed patterns find assignments to well-known names, access keys and
 hex strings.  Beside them a lexer reads source and configuration syntax as a
 stream of names, operators and literals and builds name-literal pairs:
 ``name = "literal"``, ``name: literal``, ``"name": "literal"``,
-``name => literal``, ``--name literal``.  Names bound to a literal are
+``name => literal``, ``box["name"] = literal``, ``name[] = {"literal", ...}``,
+``--name literal``, ``setenv name literal``, ``<name>literal</name>`` and the
+lines of a block ``name: |``.  Names bound to a literal are
 constants; a later ``other = NAME`` passes the literal on to ``other``, and a
 concatenation (``A + "x"``, adjacent strings) joins its parts, each literal
-once.  Constants are kept as the positions of their literals, whatever their
-length.  What is joined from more than ``MOST_PARTS`` literals is a text and no
-constant: its own literals are scored, but it is not passed on, so that a chain
-of sums stays bounded.  A pair's score is the sensitivity of its target name times how much its literal looks like a
-credential; the literals of pairs at or above the threshold are spans of kind
-``literal``.
+once.  A constant is kept as the positions of its own literals and references
+to the constants it was joined from, whatever their number, so a chain of sums
+takes memory in proportion to its length; literals are gathered only for
+targets whose name is sensitive.  A pair's score is the sensitivity of its
+target name times how much its literal looks like a credential; the literals
+of pairs at or above the threshold are spans of kind ``literal``.
 
-Scale: one pass, row by row, no shuffle.  The lexer starts only where a
-sensitive name or a constant stands before an assignment operator.
+Scale: one pass, row by row, no shuffle.  A text without any assignment
+operator or flag is not lexed.
 
 Defined results: a NULL text is empty and has no spans; a very long text is
 read whole; repeated rows give repeated results; extra columns are ignored.
@@ -54,7 +56,6 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pas
 PLACEHOLDER = re.compile(r"example|sample|changeme|change_me|placeholder|your[_-]?|xxxx|\*\*\*|dummy|<[^>]*>|\$\{|\{\{|^(?:none|null|true|false|todo|test)$",
                          re.IGNORECASE)
 THRESHOLD = 0.45
-MOST_PARTS = 64
 
 NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*"
 #: One token of the lexer, in order of preference.
@@ -66,13 +67,23 @@ TOKEN = re.compile(r"""
   | (?P<eol>\n)
 """, re.VERBOSE)
 #: Where an assignment may begin: a name, perhaps quoted, before an operator.
-TARGET = re.compile(rf"""(?P<q>["'])?(?<![A-Za-z0-9_.])(?P<name>{NAME})(?(q)(?P=q))[\x20\t]*(?P<op>:=|=>|=(?!=)|:(?![:/]))[\x20\t]*""", re.ASCII)
+TARGET = re.compile(rf"""(?P<q>["'])?(?<![A-Za-z0-9_.])(?P<name>{NAME})(?(q)(?P=q)\]?)(?:\[[0-9]*\])?[\x20\t]*(?P<op>:=|=>|=(?!=)|:(?![:/]))[\x20\t]*""", re.ASCII)
 REFERENCE = re.compile(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+")
 #: Least length of a dotted word's part that can be a credential, and the mean length of the words in a name.
 LEAST_PART, WORD_LENGTH = 10, 3
-FLAG = re.compile(r"(?<![\w-])--(?P<name>[a-z][a-z0-9-]*)[\x20=](?P<value>[^\s\"'`]+)", re.ASCII)
+#: Pairs without an operator: command-line flags, ``setenv``, elements of one literal, indented block values.
+PLAIN = (
+    re.compile(r"(?<![\w-])--(?P<name>[a-z][a-z0-9-]*)[\x20=](?P<value>[^\s\"'`]+)", re.ASCII),
+    re.compile(rf"(?m)^[\x20\t]*setenv[\x20\t]+(?P<name>{NAME})[\x20\t]+[\"']?(?P<value>[^\s\"']+)", re.ASCII),
+    re.compile(rf"<(?P<name>{NAME})>\s*(?P<value>[^\s<>]+)\s*</(?P=name)>", re.ASCII),
+    re.compile(rf"(?m)^[\x20\t-]*[\"']?(?P<name>{NAME})[\"']?:[\x20\t]+[|>][+-]?[\x20\t]*\n(?P<value>(?:[\x20\t]+\S[^\n]*(?:\n|\Z))+)", re.ASCII),
+)
+#: The rest of an unquoted value that holds colons (no scheme of an address).
+COLONS = re.compile(r"(?::[^\s\"'`=:+,;{}()\[\]<>\#/][^\s\"'`=:+,;{}()\[\]<>\#]*)+")
+OPEN, AFTER_KEY = re.compile(r"[\[({]\s*(?=[\"'`])"), re.compile(r"[\x20\t]*(?:=>|[:=])")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-MAYBE = re.compile("|".join(("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "salt")), re.IGNORECASE | re.ASCII)
+#: Every pair has one of these.
+MAYBE = re.compile(r"[=:]|--|setenv|</")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -124,62 +135,81 @@ def is_reference(word: str, constants: dict) -> bool:
     return parts[0] in constants or not any(map(_random, parts))
 
 
-def _value(text: str, at: int, constants: dict) -> list[tuple[int, int]]:
-    """Spans, each once, of the literals of the right-hand side that begins at ``at``: literals, constants, ``+``."""
-    spans, parts, joined = [], 0, True
-    for m in TOKEN.finditer(text, at):
+def _value(text: str, at: int, constants: dict) -> list:
+    """The right-hand side that begins at ``at``: spans of literals, and the lists of the constants joined in."""
+    opened = OPEN.match(text, at)
+    items, joined = [], True
+    for m in TOKEN.finditer(text, opened.end() if opened else at):
         kind, got = m.lastgroup, m.group()
         if kind == "string":
-            spans.append((m.start() + 1, m.end() - 1))
-            parts += 1
+            if opened and AFTER_KEY.match(text, m.end()):
+                break  # a key of a nested mapping, itself a target
+            items.append((m.start() + 1, m.end() - 1))
             joined = False
-        elif kind == "op" and got == "+" and parts:
+        elif kind == "op" and got == "+" and items:
             joined = True
+        elif opened and (kind == "eol" or got == ","):
+            continue
         elif kind == "word" and joined:
+            end = m.end()
             if got in constants:
-                own = constants[got]
-                if not set(own) <= set(spans):  # a literal added again tells nothing new
-                    spans = list(dict.fromkeys(spans + own))
-                    parts += 1
-            elif not parts and is_reference(got, constants) or text[m.end():m.end() + 1] in ("(", "["):
+                items.append(constants[got])
+            elif not items and is_reference(got, constants) or text[end:end + 1] in ("(", "["):
                 break  # an attribute, a call or an element: no literal
-            elif not parts:
-                end = m.end() - (len(got) - len(got.rstrip(".,")))
-                spans.append((m.start(), end))
-                parts += 1
+            elif not items:
+                more = COLONS.match(text, end)
+                end = more.end() if more else end
+                items.append((m.start(), end - (len(text[m.start():end]) - len(text[m.start():end].rstrip(".,")))))
+                if more:
+                    break
             joined = False
-            if m.end() < len(text) and text[m.end()] in ":/" and parts == 1:
+            if text[end:end + 1] in (":", "/") and len(items) == 1:
                 break
         else:
             break
-    return spans
-
-
-def name_literal_pairs(text: str):
-    """(name, spans of the literal's parts, value) in order; constants are passed on."""
+    return items
+
+
+def literals_of(items: list) -> list[tuple[int, int]]:
+    """Spans of the literals that a value was joined from, in order, each once."""
+    spans, seen, stack = {}, set(), [iter(items)]
+    while stack:
+        item = next(stack[-1], None)
+        if item is None:
+            stack.pop()
+        elif isinstance(item, tuple):
+            spans[item] = None
+        elif id(item) not in seen:
+            seen.add(id(item))
+            stack.append(iter(item))
+    return list(spans)
+
+
+def name_literal_pairs(text: str, wanted=lambda name: True):
+    """(name, spans of the literal's parts, value) of the wanted names, in order; constants are passed on."""
     constants: dict = {}
     for m in TARGET.finditer(text):
-        spans = _value(text, m.end(), constants)
-        if not spans:
+        items = _value(text, m.end(), constants)
+        if not items:
             continue
         name = m.group("name")
-        for key in (name, name.rpartition(".")[2]):
-            if len(spans) <= MOST_PARTS:
-                constants[key] = spans
-            else:
-                constants.pop(key, None)
-        yield name, spans, "".join(text[a:b] for a, b in spans)
-    for m in FLAG.finditer(text):
-        yield m.group("name"), [m.span("value")], m.group("value")
+        constants[name] = constants[name.rpartition(".")[2]] = items
+        if wanted(name):
+            spans = literals_of(items)
+            yield name, spans, "".join(text[a:b] for a, b in spans)
+    for pattern in PLAIN:
+        for m in pattern.finditer(text):
+            if wanted(m.group("name")):
+                spans = [(m.start("value") + w.start(), m.start("value") + w.end()) for w in re.finditer(r"\S+", m.group("value"))]
+                yield m.group("name"), spans, "".join(text[a:b] for a, b in spans)
 
 
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int]]:
     if not MAYBE.search(text):
         return []
     found = set()
-    for name, spans, value in name_literal_pairs(text):
-        s = name_score(name)
-        if s >= threshold and s * literal_score(value) >= threshold:
+    for name, spans, value in name_literal_pairs(text, lambda name: name_score(name) >= threshold):
+        if name_score(name) * literal_score(value) >= threshold:
             found.update(("literal", a, b) for a, b in spans if b > a)
     return sorted(found)
 
