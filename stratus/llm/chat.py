@@ -1,8 +1,8 @@
 """Operator 3: chat formatting of typed content parts, in DataFrame functions only.
 
 A message is a list of parts: text, image, audio or document.  A visitor over
-the parts writes text as it is (control strings escaped) and every other part
-as a placeholder with its ordinal, and records the part's reference and the
+the parts writes text as it is (control strings escaped, also those that begin
+in one text part and end in the next) and every other part as a placeholder with its ordinal, and records the part's reference and the
 number of tokens it expands to.  The template marks turns::
 
     <|turn|>role\n ... <|end|>\n
@@ -11,7 +11,9 @@ Escaping is reversible: a backslash is doubled, and a backslash is put after
 the first character of every control string, so no control string, of this
 template or of the common others, survives in a text.
 
-Scale: one aggregate by conversation; a conversation is one output string, so
+Scale: one shuffle by conversation.  Offsets are a running sum over the sorted
+rows of a conversation, a window that holds one row at a time, and the rows are
+then joined within the same partitions; a conversation is one output string, so
 its rows meet in one row by the nature of the result, but only its own.  No
 Python runs on the executors.
 
@@ -22,7 +24,7 @@ with a NULL conversation id form one conversation; an empty table gives no
 rows; extra columns are ignored.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, text_or_empty
@@ -74,7 +76,7 @@ def visit(parts: Column) -> Column:
     """
     known = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")),
                      lambda p: F.coalesce(p["type"].isin("text", "image", "audio", "document"), F.lit(False)))
-    start = F.struct(F.lit("").alias("content"),
+    start = F.struct(F.lit("").alias("content"), F.lit("").alias("open"),
                      F.array().cast("array<struct<ordinal:int,type:string,ref:string,n_tokens:bigint>>").alias("attachments"))
 
     def step(acc, p):
@@ -82,11 +84,14 @@ def visit(parts: Column) -> Column:
         mark = F.concat(F.lit("<|"), p["type"], F.lit(":"), n.cast("string"), F.lit("|>"))
         is_text = p["type"] == "text"
         own = F.struct(n.alias("ordinal"), p["type"].alias("type"), p["ref"].alias("ref"), part_tokens(p).alias("n_tokens"))
+        # texts that stand next to each other are escaped as one: a control string may lie over their border
         return F.struct(
-            F.concat(acc["content"], F.when(is_text, escape(F.coalesce(p["text"], F.lit("")))).otherwise(mark)).alias("content"),
+            F.when(is_text, acc["content"]).otherwise(F.concat(acc["content"], escape(acc["open"]), mark)).alias("content"),
+            F.when(is_text, F.concat(acc["open"], F.coalesce(p["text"], F.lit("")))).otherwise("").alias("open"),
             F.when(is_text, acc["attachments"]).otherwise(F.concat(acc["attachments"], F.array(own))).alias("attachments"))
 
-    return F.aggregate(known, start, step)
+    return F.aggregate(known, start, step, lambda acc: F.struct(
+        F.concat(acc["content"], escape(acc["open"])).alias("content"), acc["attachments"].alias("attachments")))
 
 
 def format_conversations(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -97,27 +102,22 @@ def format_conversations(rows: DataFrame, id_col: str = "conv_id", turn_col: str
     """
     parts = text_part(text_or_empty(text_col)) if parts is None else parts
     raw = F.coalesce(F.col(text_col), F.lit("")) if text_col in rows.columns else F.lit("")
-    turns = rows.select(F.col(id_col).alias("id"), F.struct(
-        F.col(turn_col).alias("turn"), text_or_empty(role_col).alias("role"), raw.alias("raw"), parts.alias("parts")).alias("t"))
-    # to order rows alike in every run, equal turns go by role and text
-    convs = turns.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    seen = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), visit(t["parts"]).alias("v")))
-    convs = convs.select("id", seen.alias("turns"))
-    head = lambda t: F.concat(F.lit(TURN), escape_role(t["role"]), F.lit("\n"))
-    whole = lambda t: F.concat(head(t), t["v"]["content"], F.lit(END + "\n"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def measure(acc, t):
-        a = acc["at"] + F.length(head(t))
-        b = a + F.length(t["v"]["content"])
-        span = F.array(F.struct(a.alias("start"), b.alias("end")))
-        return F.struct((acc["at"] + F.length(whole(t))).alias("at"),
-                        F.when(t["role"] == loss_role, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    media = F.flatten(F.transform("turns", lambda t: t["v"]["attachments"]))
-    return convs.select(F.col("id").alias(id_col), F.array_join(F.transform("turns", whole), "").alias("formatted"),
-                        F.aggregate("turns", start, measure)["spans"].alias("loss_spans"),
-                        media.alias("attachments"),
+    # equal turns go by role and text, so that rows come in one order in every run
+    turns = rows.select(F.col(id_col).alias("id"), F.col(turn_col).alias("turn"), text_or_empty(role_col).alias("role"),
+                        raw.alias("raw"), parts.alias("parts"))
+    head = F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n"))
+    turns = turns.withColumn("v", visit(F.col("parts"))).withColumn("head", head)
+    turns = turns.withColumn("whole", F.concat("head", "v.content", F.lit(END + "\n")))
+    order = Window.partitionBy("id").orderBy("turn", "role", "raw", "parts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turns = turns.withColumn("end", F.sum(F.length("whole").cast("long")).over(order))
+    start = F.col("end") - F.length("whole") + F.length("head")
+    span = F.struct(start.cast("int").alias("start"), (start + F.length("v.content")).cast("int").alias("end"))
+    own = F.struct("end", "whole", F.when(F.col("role") == loss_role, span).alias("span"), F.col("v.attachments").alias("attachments"))
+    # every turn adds to "end", so its order is the order of the turns
+    convs = turns.groupBy("id").agg(F.sort_array(F.collect_list(own)).alias("turns"))
+    media = F.flatten(F.col("turns.attachments"))
+    return convs.select(F.col("id").alias(id_col), F.array_join("turns.whole", "").alias("formatted"),
+                        F.array_compact("turns.span").alias("loss_spans"), media.alias("attachments"),
                         F.aggregate(media, F.lit(0).cast("long"), lambda s, m: s + F.coalesce(m["n_tokens"], F.lit(0).cast("long"))
                                     ).alias("n_media_tokens"))
 
