@@ -8,7 +8,10 @@ tighter than ``and``, ``and`` tighter than ``or``, brackets) and evaluated: the
 permissiveness of ``A and B`` is the smaller, of ``A or B`` the larger, and an
 exception (``A with X``) takes away half of what ``A`` lacks.  A document's score
 is the smallest permissiveness of all its notices and tags: 1 where nothing
-restricts it, 0 where all rights are reserved.
+restricts it, 0 where all rights are reserved.  A notice that lies inside a longer
+one (the general licence's name inside the lesser one's) keeps its place and label
+but does not enter the score, nor does the notice of a licence that a tag's
+expression names: the expression says what it is worth there.
 
 Scale: one pass, row by row, no shuffle; the automaton is a constant.
 
@@ -146,22 +149,24 @@ def scan_text(text: str) -> dict:
     words = text.encode().translate(_FOLD).split()
     line = b" " + b" ".join(words) + b" "
     auto = worker_object("licence-automaton", automaton)
-    n_base, places, base, labels, tagged = 0, [], set(), set(), False
+    n_base, places, base, found, tagged = 0, [], set(), [], False
     line = line.decode("latin-1")  # a character per byte; the phrases are ASCII
     for end, (phrase, label) in auto.iter(line):
         if label is None:
             tagged = True
             continue
-        labels.add(label)
+        found.append((end - len(phrase) - 1, end, label))
         if phrase in BASE:
             n_base += 1
             places.append(end - len(phrase) - 1)
             base.add(label)
-    values = [VALUE[x] for x in labels]
-    if tagged:
-        more, tag_values = tag_results(text)
-        labels |= more
-        values += tag_values
+    tags, values = tag_results(text) if tagged else (set(), [])
+    last = -1
+    for _, end, label in sorted(found, key=lambda f: (f[0], -f[1])):
+        if end > last and label not in tags:  # not inside a notice that began before
+            values.append(VALUE[label])
+        last = max(last, end)
+    labels = tags | {label for *_, label in found}
     word = lambda at: line.count(" ", 0, at + 1) - 1
     return {"n_words": len(words), "n_base": n_base, "first_word": word(min(places)) if places else None,
             "last_word": word(max(places)) if places else None, "base_labels": sorted(base), "labels": sorted(labels),
