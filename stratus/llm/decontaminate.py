@@ -387,7 +387,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         found = hits if found is None else found.unionByName(hits)
     found = found.groupBy(F.col(row).alias(of)).agg(F.flatten(F.collect_list(hit)).alias(hit))
     out = rows.join(found, F.col(row) == F.col(of), "left")
-    return out.withColumn(name, F.coalesce(hit, F.array().cast(LEAK.format(kind)))).select(*docs.columns, name)
+    return out.withColumn(name, F.coalesce(hit, F.array().cast(LEAK.format(kind)))).select(*[c for c in docs.columns if c.lower() != name.lower()], name)
 
 
 def op5_benchmark_decontamination(spark, sf_dir):

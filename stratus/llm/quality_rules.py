@@ -19,7 +19,8 @@ shuffled join whose hot hosts adaptive execution splits beyond it.
 
 Defined results: a NULL text is empty (no words, fails the base rules); a NULL
 host is a host of its own; repeated rows give repeated results; an empty table
-gives no rows; extra columns are ignored, whatever their names.
+gives no rows; extra columns are ignored, whatever their names; a column of the
+result's name is replaced, and ``name`` chooses another.
 """
 
 import re
@@ -139,8 +140,9 @@ def frequent_lines(docs: DataFrame, text_col: str = "text", host_col: str = "sou
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
-                max_share: float = MAX_SHARE, min_words: int = MIN_WORDS, clean: bool = True) -> DataFrame:
-    """``docs`` with a struct column ``quality``: the base facts, ``base_failed``, ``n_removed_words``,
+                max_share: float = MAX_SHARE, min_words: int = MIN_WORDS, clean: bool = True,
+                name: str = "quality") -> DataFrame:
+    """``docs`` with a struct column ``name``: the base facts, ``base_failed``, ``n_removed_words``,
     ``kept`` and, if ``clean``, ``clean_text`` (the text without the removed lines).
 
     A document is depleted when a line was removed and fewer than ``min_words`` words, or less than
@@ -162,7 +164,7 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     quality = F.struct(*[f[n].alias(n) for n in names], failed.alias("base_failed"), f["n_removed_words"].alias("n_removed_words"),
                        (~failed & ~depleted).alias("kept"),
                        *([F.when(text.isNotNull(), f["clean_text"]).alias("clean_text")] if clean else []))
-    return rows.select("_row.*", quality.alias("quality"))
+    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() != name.lower()], quality.alias(name))
 
 
 def op1_quality_rules(spark, sf_dir):
