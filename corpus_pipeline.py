@@ -5,6 +5,10 @@
 3 decontamination    documents that hold a benchmark item go
 4 secret scan        secrets in the texts are replaced by a mark
 5 packing            the texts become pieces in sequences of 1024 tokens
+
+Defined results: a NULL or empty text fails the quality rules; of copies, and of rows repeated whole, one row
+stays; NULL ids are ids like any other; an empty table gives no rows.  All columns of the documents pass through
+the first four stages, whatever their names; ``n_chars`` follows a changed text where the table has that column.
 """
 
 import os
@@ -15,20 +19,22 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from stratus.llm import decontaminate, packing, quality_rules, secrets_scan, simhash  # noqa: E402
-from stratus.llm.common import table  # noqa: E402
+from stratus.llm.common import fresh, table  # noqa: E402
 from stratus.sources.materialize import materialize  # noqa: E402
 
 
 def _with_text(docs, rows, text):
     """``docs``' columns with a new text; n_chars follows where the text changed."""
     changed = ~F.col("text").eqNullSafe(text)
-    rows = rows.withColumn("n_chars", F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars")))
     return rows.withColumn("text", text).select(*docs.columns)
 
 
 def quality_stage(spark, docs, sf_dir):
-    rows = quality_rules.apply_rules(docs).where("quality.kept")
-    return _with_text(docs, rows, F.col("quality.clean_text"))
+    name = fresh(docs, "quality")
+    rows = quality_rules.apply_rules(docs, name=name).where(F.col(name)["kept"])
+    return _with_text(docs, rows, F.col(name)["clean_text"])
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
@@ -36,12 +42,15 @@ def near_duplicate_stage(spark, docs, sf_dir):
 
 
 def decontamination_stage(spark, docs, sf_dir):
-    return decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).drop("leaks")
+    name = fresh(docs, "leaks")
+    rows = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), name=name)
+    return rows.where(F.size(name) == 0).select(*docs.columns)
 
 
 def secrets_stage(spark, docs, sf_dir):
-    rows = secrets_scan.redacted(docs.withColumn("_found", F.col("text")), "_found")
-    return _with_text(docs, rows, F.col("_found"))
+    name = fresh(docs, "found")
+    rows = secrets_scan.redacted(docs.withColumn(name, F.col("text")), name)
+    return _with_text(docs, rows, F.col(name))
 
 
 def packing_stage(spark, docs, sf_dir):
@@ -56,7 +65,8 @@ STAGES = [
     ("best_fit_packing", packing_stage),
 ]
 
-#: Near-duplicate classes, decontamination and tokenisation have no SQL form; the tests use brute force.
+#: Near-duplicate classes, decontamination and tokenisation have no SQL form; tests/llm/test_pipeline.py holds every
+#: stage against plain Python on a small fixture.
 ORACLE_SQL = None
 
 
