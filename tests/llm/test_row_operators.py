@@ -65,6 +65,17 @@ def test_odd_rows(spark, docs_of, name):
     assert run(docs.limit(0)).collect() == []
 
 
+def test_output_names_among_the_input_columns(spark, docs_of):
+    docs = docs_of(spark, ODD).withColumns({"quality": F.lit("mine"), "leaks": F.lit("mine")})
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (2, "one two three four five six")], "item_id long, text string")
+    out = quality_rules.apply_rules(docs)
+    assert out.columns.count("quality") == 1 and out.select("quality.n_words").count() == len(ODD)
+    out = quality_rules.apply_rules(docs, name="verdict")
+    assert {r["quality"] for r in out.select("quality", "verdict.kept").collect()} == {"mine"}
+    out = decontaminate.with_leaks(docs, bench, block_bytes=10)
+    assert out.columns.count("leaks") == 1 and out.where(F.size("leaks") == 0).count() == len(ODD)
+
+
 # ---- licences ---------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -107,6 +118,19 @@ def test_licence_tags_and_bad_expressions():
     assert licenses.scan_text("")["score"] == 1.0
 
 
+@pytest.mark.parametrize("text, labels, score", [
+    ("GNU Lesser General Public License", ["gpl", "lgpl"], 0.5),
+    ("GNU General Public License", ["gpl"], 0.3),
+    ("GNU Lesser General Public License or the GNU General Public License", ["gpl", "lgpl"], 0.3),
+    ("CC BY-NC-ND 4.0", ["cc-by", "cc-by-nc", "cc-by-nc-nd"], 0.2),
+    ("CC BY-SA 4.0", ["cc-by", "cc-by-sa"], 0.6),
+    ("SPDX-License-Identifier: MIT OR GPL-2.0\nGNU General Public License", ["gpl", "mit"], 1.0),
+    ("SPDX-License-Identifier: MIT OR GPL-2.0\nAll rights reserved", ["gpl", "mit", "reserved"], 0.0)])
+def test_licence_score_of_notices(text, labels, score):
+    got = licenses.scan_text(text)
+    assert (got["labels"], got["score"]) == (labels, score)
+
+
 # ---- secrets ----------------------------------------------------------------
 
 def test_secret_base_spans_match_the_plain_patterns():
