@@ -57,8 +57,7 @@ def obs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (li.groupBy(day_start("l_shipdate").alias("date_time"))
             .agg(half_up(F.avg("l_quantity"), 2).alias("tempC"),
                  half_up(F.avg("l_discount") * 1000, 2).alias("humidity"),
-                 half_up(F.coalesce(F.sum(F.when(F.col("l_discount") >= 0.1, F.col("l_quantity"))),
-                                    F.lit(0.0)) / 10, 2).alias("precipMM"),
+                 half_up(F.greatest(F.avg((F.col("l_discount") >= 0.1).cast("int")) - 0.05, F.lit(0.0)) * 20, 2).alias("precipMM"),
                  F.count(F.lit(1)).alias("pressure"),
                  half_up(F.avg("l_tax") * 100, 2).alias("windspeedKmph"),
                  F.max("l_quantity").alias("maxtempC"),
@@ -121,7 +120,7 @@ OBS_DAILY_SQL = f"""
 SELECT date_trunc('day', l_shipdate)::TIMESTAMP AS date_time,
        {sql_half_up('avg(l_quantity)')} AS tempC,
        {sql_half_up('avg(l_discount) * 1000')} AS humidity,
-       {sql_half_up('coalesce(sum(l_quantity) FILTER (WHERE l_discount >= 0.1), 0.0) / 10')} AS precipMM,
+       {sql_half_up('greatest(avg(CAST(l_discount >= 0.1 AS INTEGER)) - 0.05, 0.0) * 20')} AS precipMM,
        count(*) AS pressure,
        {sql_half_up('avg(l_tax) * 100')} AS windspeedKmph,
        max(l_quantity) AS maxtempC,

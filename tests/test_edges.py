@@ -28,6 +28,13 @@ def test_hourly_adapter_is_alive_at_every_scale(spark, sf):
     assert 0 <= r["lo"] and r["hi"] <= 100 and r["most"] <= 16
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_daily_rain_means_the_same_at_every_scale(spark, sf):
+    d = A.obs_daily(spark, f"/root/testdata/sf{sf}")
+    r = d.agg(F.avg((F.col("precipMM") > 0.1).cast("int")).alias("wet"), F.max("precipMM").alias("most")).first()
+    assert 0.05 < r["wet"] < 0.75 and r["most"] <= 20
+
+
 @pytest.fixture(scope="module")
 def with_nan(spark):
     rows = [(BASE + timedelta(hours=i), t, 50.0, p, 1000.0) for i, (t, p) in enumerate([(10.0, NAN), (NAN, 0.0), (30.0, 2.0)])]
