@@ -4,9 +4,11 @@ A configuration linear program over the histogram of piece lengths is solved by
 multiplicative weights.  A configuration is a multiset of lengths that fits in
 one sequence; each round prices configurations with an unbounded-knapsack
 dynamic program over the current length weights, uses the best one, and lowers
-the weights of the lengths it covers.  The fractional solution is rounded down
-and the rest of the histogram is filled best-fit decreasing, whole batches of
-equal sequences at a time.
+the weights of the lengths it covers, until every length is covered.  The prices
+also give a lower bound, and a solution further from it than ``gap`` is solved
+again in smaller steps.  The solution is rounded to whole sequences of full configurations, which hold most pieces, and
+best-fit decreasing places what the rounding leaves, whole batches of equal
+sequences at a time.
 
 Scale.  Only the histogram (one row per length, at most ``capacity`` rows) and
 the list of configurations reach the driver; both are bounded by the capacity,
@@ -39,7 +41,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SPECIAL = "<|endoftext|>"
 SPECIAL_ID = 50256
 END_ID = 2
-SCALES = (1.0, 0.8, 0.5, 0.2, 0.05)
+SCALES = (1.0, 0.95, 0.9, 0.8)
+#: (eta, largest step) of each pass over the linear program.
+PASSES = ((1.0, 1.0), (4.0, 0.5), (4.0, 0.25))
 
 
 class Ids:
@@ -120,30 +124,41 @@ def best_configuration(value: np.ndarray, capacity: int) -> dict[int, int]:
     return out
 
 
-def multiplicative_weights(need: np.ndarray, capacity: int, rounds: int, eta: float) -> dict[tuple, float]:
-    """Fractional solution of the covering LP: configuration -> how many sequences.
+def multiplicative_weights(need: np.ndarray, capacity: int, gap: float = 0.01,
+                           passes: tuple = PASSES) -> tuple[dict[tuple, float], float]:
+    """Fractional solution of the covering LP (configuration -> how many sequences) and a lower bound of it.
 
-    Weights fall by exp(-eta * coverage); each round adds the best-priced
-    configuration until it has covered its scarcest length once more.
+    A length's price is its size times exp(-eta * share of its pieces covered).  Each round adds the
+    best-priced configuration until one of its lengths is covered whole, or by ``step`` of its pieces, so a
+    pass has at most lengths / step rounds and covers every piece exactly once: the solution is feasible as
+    it stands.  Prices over the best configuration's price are a dual solution, whose value is the bound.
+    While the solution is more than ``gap`` above it, the next (eta, step) is tried; the best pass counts.
     """
     n = need.astype(float)
-    used = n > 0
-    coverage = np.zeros(capacity + 1)
-    x: dict[tuple, float] = {}
-    for _ in range(rounds):
-        value = np.zeros(capacity + 1)
-        gap = coverage - coverage[used].min()
-        value[used] = np.exp(-eta * gap[used]) * np.arange(capacity + 1)[used]
-        conf = best_configuration(value, capacity)
-        if not conf:
+    size = np.arange(capacity + 1, dtype=float)
+    best: dict[tuple, float] = {}
+    low, bound = np.inf, 0.0
+    for eta, most in passes:
+        left, x = n.copy(), {}
+        while left.any():
+            live = left > 0
+            covered = 1 - left[live] / n[live]
+            price = np.zeros(capacity + 1)
+            price[live] = size[live] * np.exp(-eta * (covered - covered.min()))
+            conf = best_configuration(price, capacity)
+            bound = max(bound, float(n @ price) / sum(price[k] * a for k, a in conf.items()))
+            step = min(min(left[k], n[k] * most) / a for k, a in conf.items())
+            for k, a in conf.items():
+                left[k] -= a * step
+                if left[k] < 1e-9 * n[k]:
+                    left[k] = 0.0
+            key = tuple(sorted(conf.items(), reverse=True))
+            x[key] = x.get(key, 0.0) + step
+        if sum(x.values()) < low:
+            best, low = x, sum(x.values())
+        if low <= bound * (1 + gap):
             break
-        step = min(n[k] / a for k, a in conf.items())
-        for k, a in conf.items():
-            coverage[k] += a * step / n[k]
-        key = tuple(sorted(conf.items(), reverse=True))
-        x[key] = x.get(key, 0.0) + step
-    low = coverage[used].max() if used.any() else 1.0
-    return {k: v / max(low, 1e-12) for k, v in x.items()}
+    return best, bound
 
 
 def best_fit_rest(need: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
@@ -174,23 +189,36 @@ def best_fit_rest(need: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
         out.append((tuple(sorted(conf.items(), reverse=True)), times))
 
 
-def rounded(x: dict[tuple, float], need: np.ndarray, capacity: int, scale: float) -> list[tuple[tuple, int]]:
-    """Whole numbers of the full configurations of ``scale`` times ``x``, and best fit for the rest."""
+def rounded(x: dict[tuple, float], need: np.ndarray, capacity: int, scale: float,
+            carried: bool) -> tuple[list[tuple[tuple, int]], list[tuple[tuple, int]]]:
+    """Whole numbers of the full configurations of ``scale`` times ``x``, and best fit for the rest.
+
+    With ``carried`` the fraction lost by rounding one configuration down is added to the next.
+    """
     left, out = need.copy(), []
+    carry = 0.0
     for conf, v in sorted(x.items(), key=lambda e: (-e[1], e[0])):
-        times = min([int(v * scale), *(int(left[k]) // a for k, a in conf)])
-        if times and sum(k * a for k, a in conf) == capacity:  # what leaves room is left to best fit
+        if sum(k * a for k, a in conf) < capacity:  # what leaves room is left to best fit
+            continue
+        carry = v * scale + (min(carry, 1.0) if carried else 0.0)
+        times = min([int(carry + 1e-9), *(int(left[k]) // a for k, a in conf)])
+        if times:
             for k, a in conf:
                 left[k] -= a * times
             out.append((conf, times))
-    return out + best_fit_rest(left, capacity)
+            carry -= times
+    return out, best_fit_rest(left, capacity)
+
+
+def sequences(rows: list[tuple[tuple, int]]) -> int:
+    return sum(times for _, times in rows)
 
 
-def plan(hist: dict[int, int], capacity: int, rounds: int = 300, eta: float = 4.0) -> list[tuple[tuple, int]]:
+def plan(hist: dict[int, int], capacity: int, gap: float = 0.01) -> list[tuple[tuple, int]]:
     """Configurations and how many sequences use each; together they hold every piece exactly.
 
-    Rounding down strands lengths whose partners are used up, so the fractional solution is rounded
-    at several scales and the plan of fewest sequences is taken.
+    Rounding strands lengths whose partners are used up, so the fractional solution is rounded in
+    several ways; of the plans of fewest sequences the one with most of them from the solution is taken.
     """
     need = np.zeros(capacity + 1, dtype=np.int64)
     for k, v in hist.items():
@@ -199,8 +227,10 @@ def plan(hist: dict[int, int], capacity: int, rounds: int = 300, eta: float = 4.
     need[capacity] = 0
     if not need.any():
         return whole
-    x = multiplicative_weights(need, capacity, rounds, eta)
-    return whole + min((rounded(x, need, capacity, s) for s in SCALES), key=lambda p: sum(t for _, t in p))
+    x, _ = multiplicative_weights(need, capacity, gap)
+    ways = [rounded(x, need, capacity, s, c) for s in SCALES for c in (False, True)]
+    of_lp, rest = min(ways, key=lambda w: (sequences(w[0]) + sequences(w[1]), -sequences(w[0])))
+    return whole + of_lp + rest
 
 
 def placement(plan_rows: list[tuple[tuple, int]], capacity: int) -> dict[int, tuple]:
@@ -218,13 +248,13 @@ def placement(plan_rows: list[tuple[tuple, int]], capacity: int) -> dict[int, tu
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024,
-         end_id: int = END_ID, folder: str = TOKENIZERS, rounds: int = 300) -> DataFrame:
+         end_id: int = END_ID, folder: str = TOKENIZERS) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece."""
     cut_up = materialize(pieces(docs, id_col, text_col, capacity, end_id, folder), "pieces")
     by_task = cut_up.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     hist = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     spark = docs.sparkSession
-    at = spark.sparkContext.broadcast(placement(plan(hist, capacity, rounds), capacity))
+    at = spark.sparkContext.broadcast(placement(plan(hist, capacity), capacity))
 
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_task.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

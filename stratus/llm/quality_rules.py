@@ -6,16 +6,18 @@ above the host's limits are removed from every document of that host, and
 documents that the removal depletes are rejected, as are those that fail the
 base rules on the text itself.
 
-Limits: a line is removed on a host when more than ``min_texts`` texts *and*
-more than ``max_share`` of the host's texts hold it.  Exact copies of a text
-count once, so a text is not boilerplate for having been copied.
+Limits: a line is removed on a host when more than ``min_texts`` texts hold it,
+however large the host is, or when more than ``few_texts`` texts and more than
+``max_share`` of the host's texts hold it, so that small hosts have a limit they
+can reach.  Exact copies of a text count once, so a text is not boilerplate for
+having been copied.
 
 Scale.  Lines are counted over distinct (host, hash of text) pairs after a
 map-side combine, so a group of copies costs one entry.  Counts are partial
-aggregates over hashes.  The frequent lines, one list a host (of a length bound
-by the limits, see :func:`frequent_lines`), are joined back by host: broadcast
-while they are below Spark's broadcast threshold, so that texts do not move, a
-shuffled join whose hot hosts adaptive execution splits beyond it.
+aggregates over hashes.  Up to ``listed`` frequent lines (8 bytes each) are
+joined back as one list a host, so that texts do not move.  Beyond it the lists
+would grow with the hosts: each text's own lines are then joined to them by host
+and hash, and a text gets back the list of its own frequent lines only.
 
 Defined results: a NULL text is empty (no words, fails the base rules); a NULL
 host is a host of its own; repeated rows give repeated results; an empty table
@@ -41,7 +43,9 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
 MIN_TEXTS = 20
+FEW_TEXTS = 5
 MAX_SHARE = 0.1
+LISTED = 1 << 20
 
 DIGITS = re.compile(rb"[0-9]+")
 
@@ -121,27 +125,27 @@ def facts_column(text: Column, gone: Column, clean: bool) -> Column:
     return run(text, gone)
 
 
-def frequent_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
-                   max_share: float = MAX_SHARE) -> DataFrame:
-    """(_host, _often): the hashes of the lines above a host's limits, for hosts that have some.
+def text_key(host_col: str, text: Column) -> list[Column]:
+    return [null_safe_key(host_col).alias("_host"), F.xxhash64(text).alias("_t1"), F.hash(text).alias("_t2")]
 
-    A frequent line stands in more than ``max_share`` of its host's texts, so a host has at most
-    1 / ``max_share`` times as many of them as its texts have lines on average.
-    """
+
+def frequent_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
+                   max_share: float = MAX_SHARE, few_texts: int = FEW_TEXTS) -> tuple[DataFrame, DataFrame]:
+    """(_host, _t1, _t2, _lines): the lines of every distinct text of a host, and (_host, h): those above its limits."""
     text = text_or_empty(text_col)
-    texts = docs.select(null_safe_key(host_col).alias("_host"), F.xxhash64(text).alias("_t1"), F.hash(text).alias("_t2"),
-                        lines_column(text).alias("_lines"))
+    texts = docs.select(*text_key(host_col, text), lines_column(text).alias("_lines"))
     texts = materialize(texts.groupBy("_host", "_t1", "_t2").agg(F.first("_lines").alias("_lines")), "text-lines")
     hosts = texts.groupBy("_host").agg(F.count(F.lit(1)).alias("n_host"))
     held = (texts.select("_host", F.explode("_lines").alias("h"))
-            .groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min_texts))
-    often = held.join(hosts, "_host").where(F.col("n_texts") > F.col("n_host") * max_share)
-    return materialize(often.groupBy("_host").agg(F.collect_list("h").alias("_often")), "frequent-lines")
+            .groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min(few_texts, min_texts)))
+    n = F.col("n_texts")
+    often = held.join(hosts, "_host").where((n > min_texts) | ((n > few_texts) & (n > F.col("n_host") * max_share)))
+    return texts, materialize(often.select("_host", "h"), "frequent-lines")
 
 
 def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_texts: int = MIN_TEXTS,
                 max_share: float = MAX_SHARE, min_words: int = MIN_WORDS, clean: bool = True,
-                name: str = "quality") -> DataFrame:
+                name: str = "quality", few_texts: int = FEW_TEXTS, listed: int = LISTED) -> DataFrame:
     """``docs`` with a struct column ``name``: the base facts, ``base_failed``, ``n_removed_words``,
     ``kept`` and, if ``clean``, ``clean_text`` (the text without the removed lines).
 
@@ -149,11 +153,15 @@ def apply_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source
     half of its words, are left.
     """
     small_batches(docs)
-    host, facts = fresh(docs, "_host_key"), fresh(docs, "_facts")
-    often = frequent_lines(docs, text_col, host_col, min_texts, max_share)
-    often = often.select(F.col("_host").alias("g_host"), F.col("_often").alias("g_often"))
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), null_safe_key(host_col).alias(host))
-    rows = rows.join(often, rows[host] == often["g_host"], "left")
+    facts = fresh(docs, "_facts")
+    texts, often = frequent_lines(docs, text_col, host_col, min_texts, max_share, few_texts)
+    if often.count() <= listed:
+        keys, gone = ["_host"], often
+    else:
+        keys, gone = ["_host", "_t1", "_t2"], texts.withColumn("h", F.explode("_lines")).join(often, ["_host", "h"])
+    gone = gone.groupBy(*keys).agg(F.collect_list("h").alias("_often"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *text_key(host_col, text_or_empty(text_col))[:len(keys)])
+    rows = rows.join(gone, keys, "left").select("_row", F.col("_often").alias("g_often"))
     text = F.col("_row")[text_col]
     rows = rows.withColumn(facts, facts_column(text_or_empty(text), F.col("g_often"), clean))
     f = F.col(facts)
@@ -192,7 +200,7 @@ dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM real GRO
 hosts AS (SELECT source, count(DISTINCT text) AS n_host FROM d GROUP BY source),
 held AS (SELECT source, norm, count(DISTINCT text) AS n_texts FROM real GROUP BY source, norm),
 often AS (SELECT held.source, norm FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
-          WHERE n_texts > 20 AND n_texts > n_host * 0.1),
+          WHERE n_texts > 20 OR (n_texts > 5 AND n_texts > n_host * 0.1)),
 gone AS (SELECT rid, sum(nw) AS n_removed_words FROM real JOIN often
          ON real.source IS NOT DISTINCT FROM often.source AND real.norm = often.norm GROUP BY rid),
 f AS (SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,

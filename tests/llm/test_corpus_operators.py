@@ -146,6 +146,44 @@ def test_plan_holds_every_piece_and_is_near_the_bound():
             assert sum(t for _, t in rows) <= bound * 1.05 + 3
 
 
+def _histogram(sf):
+    import pyarrow.parquet as pq
+    ids, hist = packing.Ids(packing.TOKENIZERS), {}
+    for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"])["text"].to_pylist():
+        for _, k in packing.cut(len(ids.encode(t or "")) // 4 + 1, 1024):
+            hist[k] = hist.get(k, 0) + 1
+    return hist
+
+
+def test_plan_comes_from_the_linear_program():
+    # most sequences that the greedy filling alone, the whole ones aside, needed on these tables
+    for sf, greedy in (("/root/testdata/sf0.01", 456), ("/root/testdata/sf0.1", 4465)):
+        hist = _histogram(sf)
+        need = np.array([0] + [hist.get(k, 0) for k in range(1, 1024)] + [0])
+        x, bound = packing.multiplicative_weights(need, 1024)
+        held = np.zeros(1025)
+        for conf, v in x.items():
+            assert v > 0 and sum(k * a for k, a in conf) <= 1024
+            for k, a in conf:
+                held[k] += a * v
+        assert np.allclose(held, need)                                # every length is covered, none twice
+        assert bound >= (need @ np.arange(1025)) / 1024 - 1e-6 and sum(x.values()) <= 1.01 * bound
+        of_lp = {conf for conf, _ in x.items()}
+        rows = packing.plan({k: v for k, v in hist.items() if k < 1024}, 1024)
+        assert sum(t for _, t in rows) <= greedy
+        assert 2 * sum(t for conf, t in rows if conf in of_lp) > greedy
+
+
+def test_bound_of_the_linear_program():
+    # lengths over half the capacity need a sequence each, two of 500 fit in one; 8 + 4 and 5 + 4 + 3 fill one exactly
+    for hist, value in (({600: 7}, 7), ({600: 7, 500: 5}, 10), ({8: 9, 4: 9}, 9), ({5: 4, 4: 4, 3: 8}, 5)):
+        cap = 12 if max(hist) < 12 else 1024
+        need = np.array([hist.get(k, 0) for k in range(cap + 1)])
+        x, bound = packing.multiplicative_weights(need, cap)
+        assert bound <= value + 1e-9 and bound - 1e-9 <= sum(x.values()) <= value + 1e-9
+        assert sum(t for _, t in packing.plan(hist, cap)) == value
+
+
 def test_packing_is_gapless_and_complete(spark, docs_of):
     docs = table(spark, SF_LARGER, "documents")
     rows = packing.pack(docs).collect()

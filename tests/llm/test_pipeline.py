@@ -55,7 +55,7 @@ def _quality(rows):
     for h, texts in hosts.items():
         for t in texts:
             held.update({(h, norm(x)) for x in t.split("\n") if _words(x)})
-    gone = {k for k, n in held.items() if n > 20 and n > len(hosts[k[0]]) * 0.1}
+    gone = {k for k, n in held.items() if n > 20 or (n > 5 and n > len(hosts[k[0]]) * 0.1)}
     out = []
     for i, t, lang, h, n in rows:
         w = _words(t or "")

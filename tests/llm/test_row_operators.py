@@ -38,6 +38,9 @@ def test_frequent_lines_by_host(spark, docs_of):
     own = lambda i: " ".join(chr(97 + i % 26) + chr(97 + i // 26) + chr(97 + k) * 3 for k in range(26)) + " and four more words"
     rows = [(i, own(i) + "\nSubscribe to our  newsletter 2024", "h1") for i in range(40)]
     rows += [(100 + i, own(100 + i) + "\nsubscribe to our newsletter 1999", "h2") for i in range(15)]
+    rows += [(1000 + i, own(200 + i), "h2") for i in range(140)]
+    rows += [(400 + i, own(400 + i) + ("\nSubscribe to our newsletter 1" if i < 6 else "\nRead more about us" if i < 11 else ""), "h4")
+             for i in range(20)]
     rows += [(200, "a b c d e f g h i j k l\nSubscribe to our newsletter 7\nm n o p q r s t", "h1")]
     rows += [(300 + i, "the same text of many copies " + own(0), "h3") for i in range(60)]
     out = {r["doc_id"]: r["quality"] for r in quality_rules.apply_rules(docs_of(spark, rows)).collect()}
@@ -45,11 +48,35 @@ def test_frequent_lines_by_host(spark, docs_of):
     assert out[100]["n_removed_words"] == 0 and out[100]["kept"]      # 15 texts are below the host's limit
     assert out[200]["n_removed_words"] == 5 and out[200]["kept"]      # 20 words left
     assert out[300]["n_removed_words"] == 0 and out[300]["kept"]      # copies count once
+    assert out[400]["n_removed_words"] == 5 and out[406]["n_removed_words"] == 0   # 6 of 20 texts, 5 of 20 texts
+    long = quality_rules.apply_rules(docs_of(spark, rows), listed=0)  # lists by text instead of by host
+    assert {r["doc_id"]: r["quality"] for r in long.collect()} == out
     shorter = [(201, "a b c d e f g h i j k l\nSubscribe to our newsletter 7\nm n o p q r s", "h1")]
     out = {r["doc_id"]: r["quality"] for r in quality_rules.apply_rules(docs_of(spark, rows + shorter)).collect()}
     assert not out[201]["kept"] and not out[201]["base_failed"]       # depleted: 19 words left
 
 
+def test_a_line_of_many_texts_goes_on_any_size_of_host(spark, docs_of):
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(i))  # noqa: E731  digits count as one
+    rows = [(i, f"text {name(i)} of its own " + "word " * 20 + ("\nAll pages of this site" if i % 25 == 0 else ""), "big") for i in range(1000)]
+    for listed in (0, 10):
+        out = quality_rules.apply_rules(docs_of(spark, rows), listed=listed).where("quality.n_removed_words = 5")
+        assert sorted(r["doc_id"] for r in out.collect()) == list(range(0, 1000, 25))
+
+
+def test_quality_rules_match_their_sql(spark):
+    import duckdb
+    sf = "/root/testdata/sf0.01"
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    got = quality_rules.op1_quality_rules(spark, sf)
+    names = sorted(got.columns)
+    want = duckdb.sql(quality_rules.OP1_SQL).df()[names].values.tolist()
+    rows = [[r[n] for n in names] for r in got.collect()]
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, want))
+    gone = [r for r in got.collect() if r["n_removed_words"]]
+    assert gone and any(not r["kept"] and not r["base_failed"] for r in gone)  # the method is at work on this table
+
+
 @pytest.mark.parametrize("name", ["quality_rules", "licenses", "secrets", "tokens", "leaks", "toxicity", "quality"])
 def test_odd_rows(spark, docs_of, name):
     docs = docs_of(spark, ODD)
