@@ -27,6 +27,8 @@ repeated ones and NULL ids included; an empty table gives no rows; other columns
 Special tokens' strings inside texts are plain text.
 """
 
+import contextlib
+import gc
 import hashlib
 import json
 import os
@@ -48,6 +50,9 @@ TOP = 65_536
 HELD = 500_000
 CACHE, LONG = 120_000, 48
 SEGMENT = re.compile(r"(?<=[\w!-~])(?= )")
+CLOSED = re.compile(r"[\w!-~]\Z")
+#: Segments that tokenizer A reads in one call.
+JOINED = 200
 #: Rows of the first pass: a document, a task's regular counts, a task's pair counts.
 DOC, REGULAR, PAIRS = 0, 1, 2
 
@@ -92,9 +97,33 @@ class Pair:
         self.marked = ([f"{i}," for i in range(na)] + [f"{i}|" for i in range(na)]
                        + [f"{i}," for i in range(nb)] + [f"{i};" for i in range(nb)])
 
+    def ids_a(self, parts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def encode_a(self, parts: list[str]) -> list[list[int]]:
+        """A's ids of each segment.  Segments that could stand before another are read many at a time, since a
+        call's own cost is above that of a word, and told apart by the bytes of their tokens."""
+        out: list = [None] * len(parts)
+        closed = [k for k, p in enumerate(parts) if CLOSED.search(p)]
+        groups = [closed[i:i + JOINED] for i in range(0, len(closed), JOINED)]
+        for group, ids in zip(groups, self.ids_a(["".join([parts[k] for k in g]) for g in groups])):
+            ends = np.cumsum(self.a_size[ids])
+            want = np.cumsum([len(parts[k].encode()) for k in group])
+            upto = np.searchsorted(ends, want)
+            if ends[-1] != want[-1] or (ends[upto] != want).any():
+                continue  # tokens that are not these bytes: one by one below
+            i = 0
+            for k, j in zip(group, (upto + 1).tolist()):
+                out[k] = ids[i:j]
+                i = j
+        alone = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(alone, self.ids_a([parts[k] for k in alone])):
+            out[k] = ids
+        return out
+
     def encode(self, parts: list[str]) -> tuple[list, list]:
         """Ids of both for texts that begin with the space that B adds."""
-        a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        a = self.encode_a(parts)
         b = [[self.space] if p == " " else ids for p, ids in zip(parts, self.b.encode([p[1:] for p in parts], num_threads=1))]
         return a, b
 
@@ -169,6 +198,18 @@ def counted(keys: np.ndarray, n: np.ndarray):
     return keys, np.bincount(back, weights=n, minlength=len(keys)).astype(np.int64)
 
 
+@contextlib.contextmanager
+def uncollected():
+    """No garbage collection: the work makes no reference cycles, and the collector would visit all kept segments."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 LISTS = ("reg_a", "reg_n", "irr_a", "irr_b", "irr_n")
 
 
@@ -199,7 +240,9 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path:
 
         for batch in batches:
             doc_type, rows = batch["doc"].type, []
-            for parts in pair.segments(batch["text"].to_pylist()):
+            with uncollected():
+                texts = pair.segments(batch["text"].to_pylist())
+            for parts in texts:
                 if not parts:
                     rows.append((0, 0, 0, "", [], [], [], [], []))
                     continue

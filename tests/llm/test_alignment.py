@@ -4,6 +4,7 @@ import hashlib
 import json
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,12 @@ def test_query_equals_brute_force(spark, brute):
     rows = [tuple(r) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
     mine = sorted((tuple(r) for r in al.op11_cross_tokenizer_alignment(spark, path).collect()), key=repr)
     assert mine == sorted(brute(rows), key=repr)
+
+
+def test_segments_read_together_have_their_own_ids():
+    pair = al.Pair(*(al.vocabulary(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    texts = [r or "" for r in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])["text"].to_pylist()]
+    texts += ["a\n b  c \t d\n", "<|endoftext|> x", "é ñ 😀 \u2581 y", "don't  'll !! ## $5 ", " ", "\x00 \x85 z\xa0 q"]
+    parts = list(dict.fromkeys(p for t in texts for p in al.SEGMENT.split(" " + t)))
+    assert pair.encode_a(parts) == pair.ids_a(parts) and len(parts) > 3 * al.JOINED
+    assert pair.encode_a([]) == []
