@@ -1010,6 +1010,18 @@ def g3_scored_forecasts(spark, sf):
                       F.coalesce(F.col("rain_probability").between(0, 100), F.lit(False)).alias("probability_sound"))
 
 
+@register("g2_absent_features", with_views(_LAST_SQL + f"""
+SELECT h AS horizon_hours, CAST(0.0 AS DOUBLE) AS cloudcover, CAST(0.0 AS DOUBLE) AS temp_lag_48, {R('humidity', 6)} AS humidity,
+       {R('temp_lag_1', 6)} AS temp_lag_1
+FROM (SELECT *, unnest([1, 3, 6]) AS h FROM last)""", "obs_hourly"))
+def g2_absent_features(spark, sf):
+    """Future rows of a table without two of the model's features get 0.0 for them, the others stay."""
+    wanted = ["cloudcover", "temp_lag_48", "humidity", "temp_lag_1"]
+    feats = hourly_features(spark, sf).drop("cloudcover", "temp_lag_48")
+    rows = fc.with_default_features(fc.future_rows(feats, fc.standard_horizons()), wanted)
+    return round_doubles(rows.select("horizon_hours", *wanted), 6)
+
+
 @register("g6_custom_horizon_rows", with_views(_LAST_SQL + _future_sql("[12]"), "obs_hourly"))
 def g6_custom_horizon_rows(spark, sf):
     return round_doubles(fc.future_rows(hourly_features(spark, sf), fc.custom_horizon(12)).select(*_FUTURE_COLS), 6)
