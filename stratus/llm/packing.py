@@ -6,7 +6,7 @@ one sequence; each round prices configurations with an unbounded-knapsack
 dynamic program over the current length weights, uses the best one, and lowers
 the weights of the lengths it covers, until every length is covered.  The prices
 also give a lower bound, and a solution further from it than ``gap`` is solved
-again in smaller steps.  The solution is rounded to whole sequences of full configurations, which hold most pieces, and
+again in smaller steps.  The solution is rounded to whole sequences of full configurations, and
 best-fit decreasing places what the rounding leaves, whole batches of equal
 sequences at a time.
 
