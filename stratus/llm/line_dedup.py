@@ -258,7 +258,8 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     """
     doc, th, n, keep = (fresh(docs, f"_dedup_{c}") for c in ("doc", "th", "n", "keep"))
     marks = bitmaps.select(F.col("doc").alias(doc), F.col("th").alias(th), F.col("n_dropped").alias(n), F.col("keep").alias(keep))
-    rows = docs.join(marks, F.col(id_col).eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(text_col)) == F.col(th)), "left")
+    # one plan at every size: a small table of marks would be broadcast, a larger one shuffles the texts, a step in the disk taken
+    rows = docs.join(marks.hint("merge"), F.col(id_col).eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(text_col)) == F.col(th)), "left")
     # texts that lose nothing are not sent to Python
     text = F.coalesce(kept_column(F.when(F.col(keep).isNotNull(), F.col(text_col)), F.col(keep)), text_or_empty(text_col))
     names = fresh(docs, n_dropped), fresh(docs, kept_text)

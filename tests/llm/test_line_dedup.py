@@ -127,3 +127,13 @@ def test_query_equals_sql(spark):
     con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
     got = ld.op13_line_dedup(spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, got.collect())) == sorted(con.sql(ld.OP13_SQL).select(*got.columns).fetchall())
+
+
+def test_texts_are_joined_the_same_way_at_every_size(spark, docs_of):
+    """A few bitmaps are not broadcast: their join would turn into a shuffle of all texts as the table grows."""
+    rows = [(i, line(0), "s") for i in range(6)]
+    docs = docs_of(spark, rows)
+    marks = spark.range(1).selectExpr("id AS doc", "id AS th", "id AS n_dropped", "cast('x' AS binary) AS keep")
+    plan = ld.drop_lines(docs, marks)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert run(docs) == brute([r[:2] for r in rows])
