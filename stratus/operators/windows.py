@@ -4,25 +4,41 @@ sum (D2-D4) and calendar-mean anomalies (D5).
 An unpartitioned ``Window.orderBy`` would send the whole series to one task.
 Instead rows are cut into fixed-size chunks of the global row index; the last
 ``halo`` rows of every chunk are also copied into the next chunk, so each
-chunk holds every earlier row its windows can reach.  The window is then
-``partitionBy(key, chunk).orderBy(row_idx)``: every window partition has at
-most ``chunk_rows + halo`` rows whatever the skew of the keys, and all window
+chunk holds every earlier row its windows can reach.  The rows are hashed by
+(key, chunk) and sorted by (key, chunk, row_idx): a chunk has at most
+``chunk_rows + halo`` rows whatever the skew of the keys, and all window
 columns share one exchange and one sort.  Copies are dropped afterwards.
 
+Spark evaluates a moving frame anew for every row (45 rows a row for the
+reference's frames of 3 to 24).  Columns of integers and doubles are therefore
+computed over the sorted rows in Arrow batches, all rows of a batch at a time
+(:class:`Trailing`); a task holds one batch and ``halo`` rows.  Other types
+(decimals) go through Spark's window functions, over the same exchange and sort.
+
 Rolling results follow pandas ``rolling(n)`` (``min_periods = n``): a value is
 produced only when the frame holds ``n`` non-missing observations.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .index import _as_list, _free
 
-from .index import _as_list
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
 DEFAULT_CHUNK_ROWS = 65536
+#: Rows that are computed at a time, whatever the session's Arrow batches.
+BATCH_ROWS = 16384
 
 
 @dataclass(frozen=True)
@@ -70,9 +86,144 @@ def add_series_windows(indexed: DataFrame, specs, key=None, index_col: str = "ro
     in_halo = F.pmod(idx, F.lit(chunk_rows)) >= chunk_rows - halo
     chunks = F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))
     copied = indexed.withColumn("_chunk", F.explode(chunks)).withColumn("_copy", F.col("_chunk") != home)
+    laid = copied.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", index_col)
+    types = {f.name: f.dataType for f in indexed.schema.fields}
+    fast = [s for s in specs if isinstance(types.get(s.column), (T.IntegralType, T.DoubleType, T.FloatType))]
     w = Window.partitionBy(*keys, "_chunk").orderBy(index_col)
-    out = copied.withColumns({s.name: _expr(s, w) for s in specs})
-    return out.filter(~F.col("_copy")).drop("_chunk", "_copy")
+    laid = laid.withColumns({s.name: _expr(s, w) for s in specs if s not in fast})
+    out = _trailing_columns(laid, fast, keys, halo) if fast else laid.filter(~F.col("_copy"))
+    return out.select(*indexed.columns, *[s.name for s in specs])
+
+
+def _trailing_columns(laid: DataFrame, specs, keys, halo: int) -> DataFrame:
+    """The columns of ``specs`` over rows sorted by (key, _chunk, position), without the copied rows."""
+    # keys are compared with the row before: types that Arrow does not compare, or NaN, as strings
+    series, types = {"_chunk": F.col("_chunk")}, {f.name: f.dataType for f in laid.schema.fields}
+    for k in keys:
+        plain = isinstance(types[k], (T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+        series[k if plain else _free(laid, f"_key_{k}")] = F.col(k) if plain else F.col(k).cast("string")
+    laid = laid.withColumns({n: c for n, c in series.items() if n not in laid.columns})
+    whole = {s.name for s in specs if s.kind == "sum" and isinstance(types[s.column], T.IntegralType)}
+    kept = [c for c in laid.columns if c not in series and c != "_copy" or c in keys]
+    schema = laid.select(*kept).schema
+    for s in specs:
+        schema = schema.add(s.name, "long" if s.name in whole else "double")
+    names, marks = schema.names, list(series)
+
+    def run(batches):
+        state = Trailing(specs, whole, halo)
+        for batch in joined(batches, BATCH_ROWS):
+            columns = state.add(batch, marks)
+            own = pc.invert(batch["_copy"])
+            rows = pa.RecordBatch.from_arrays([*[batch[c] for c in kept], *columns], names)
+            yield rows.filter(own)
+
+    return laid.mapInArrow(run, schema)
+
+
+def joined(batches, rows: int):
+    """Consecutive batches put together until they have ``rows`` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
+
+
+class Trailing:
+    """Lags and trailing sums, means and deviations over rows that arrive sorted by series, batch by batch."""
+
+    def __init__(self, specs, whole, halo: int):
+        self.specs, self.whole, self.halo = specs, whole, halo
+        self.last = None      # the row before, as a batch: its series goes on if the marks are equal
+        self.age = 0          # rows of the open series so far
+        self.tail: dict = {}  # column -> values and nulls of the last ``halo`` rows
+
+    def add(self, batch: pa.RecordBatch, marks: list[str]) -> list[pa.Array]:
+        """One array per spec for the rows of ``batch``."""
+        age = self._ages(batch, marks)
+        out: dict = {}
+        for c in dict.fromkeys(s.column for s in self.specs):
+            mine = [s for s in self.specs if s.column == c]
+            with np.errstate(all="ignore"):
+                out.update(self._column(batch[c], age, c, mine))
+        return [out[s.name] for s in self.specs]
+
+    def _ages(self, batch, marks) -> np.ndarray:
+        """How many rows of its own series stand before each row."""
+        n = batch.num_rows
+        begins = np.zeros(n, dtype=bool)
+        for c in marks:
+            x = batch[c]
+            begins[1:] |= _differ(x.slice(1), x.slice(0, n - 1))
+            begins[0] |= self.last is None or bool(_differ(x.slice(0, 1), self.last[c])[0])
+        at = np.arange(n)
+        start = np.maximum.accumulate(np.where(begins, at, -self.age))
+        age = at - start
+        self.age = int(age[-1]) + 1
+        self.last = pa.RecordBatch.from_arrays([batch[c].slice(n - 1) for c in marks], marks)
+        return age
+
+    def _column(self, x: pa.Array, age: np.ndarray, name: str, specs) -> dict:
+        n, halo = len(x), self.halo
+        null = x.is_null().to_numpy(zero_copy_only=False)
+        values = x.fill_null(0).to_numpy(zero_copy_only=False)
+        if name in self.tail:
+            values, null = np.concatenate([self.tail[name][0], values]), np.concatenate([self.tail[name][1], null])
+        else:
+            values, null = np.concatenate([np.zeros(halo, values.dtype), values]), np.concatenate([np.ones(halo, bool), null])
+        self.tail[name] = values[len(values) - halo:].copy(), null[len(null) - halo:].copy()
+        v, out = values.astype("f8"), {}
+
+        def back(a, j):
+            return a[halo - j:halo - j + n]
+
+        for s in specs:
+            if s.kind == "lag":
+                out[s.name] = pa.array(back(v, s.n), mask=(age < s.n) | back(null, s.n))
+        frames = [s for s in specs if s.kind != "lag"]
+        widths = {s.n for s in frames}
+        kinds = {s.kind for s in frames}
+        total, missing = np.zeros(n), np.zeros(n, dtype=np.int64)
+        # deviations from the frame's newest value: no cancellation beyond the frame's own spread
+        first, second, now = np.zeros(n), np.zeros(n), back(v, 0)
+        exact = np.zeros(n, dtype=np.int64)
+        gaps = null.any()
+        for j in range(max(widths, default=0)):
+            y = back(v, j)
+            total += y
+            if any(s.name in self.whole for s in frames):
+                exact += back(values, j)
+            if "std" in kinds:
+                d = y - now
+                first += d
+                second += d * d
+            if gaps:
+                missing += back(null, j)
+            if j + 1 not in widths:
+                continue
+            mask = age < j
+            if gaps:
+                mask |= missing > 0
+            for s in frames:
+                if s.n != j + 1:
+                    continue
+                if s.kind == "std":
+                    got = np.sqrt(np.maximum(second - first * first / s.n, 0) / (s.n - 1)) if s.n > 1 else None
+                else:
+                    got = (exact if s.name in self.whole else total).copy() if s.kind == "sum" else total / s.n
+                out[s.name] = pa.nulls(n, pa.float64()) if got is None else pa.array(got, mask=mask)
+        return out
+
+
+def _differ(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Whether two arrays' values differ, nulls being equal to each other."""
+    nulls = pc.xor(a.is_null(), b.is_null())
+    return pc.or_(pc.fill_null(pc.not_equal(a, b), False), nulls).to_numpy(zero_copy_only=False)
 
 
 def lags(indexed: DataFrame, columns: dict, lags_, key=None, index_col: str = "row_idx",

@@ -7,7 +7,8 @@ Physical shape of the plan (see ``explain``):
 * the calendar-month means for the anomalies are a partial aggregate over
   that table, broadcast back (bounded by the number of months, or joined
   under AQE when a station key is present);
-* one hash exchange on (key, chunk) feeds every lag and rolling column;
+* one hash exchange on (key, chunk) feeds every lag and rolling column, which
+  are computed over Arrow batches of the sorted rows;
 * projections (calendar, cyclical, interactions, seasons, target) fuse into
   the surrounding whole-stage-codegen stages.
 """
@@ -23,6 +24,7 @@ from ..functions.calendar import cyclical, season_flags, time_parts
 from ..functions.rules import EXCLUDED_FROM_FEATURES, interactions, rain_label
 from ..operators.index import _as_list, with_row_index
 from ..operators.windows import DEFAULT_CHUNK_ROWS, WindowSpec, add_series_windows, anomaly
+from ..session import compile_wide
 
 # Fixed values that must equal the reference's results.
 LAGS = (1, 3, 6, 12, 24, 48)
@@ -101,9 +103,11 @@ def engineer(raw: DataFrame, cols: SeriesColumns = SeriesColumns(), drop_incompl
     derived += ["is_summer", "is_monsoon", "is_winter", *anomalies, *(["will_rain"] if "will_rain" in out.columns else [])]
     out = out.select(*raw.columns, *derived, "row_idx")
     if drop_incomplete:
-        # pandas dropna(): any NULL/NaN in any column removes the row.
-        out = out.na.drop("any")
-    return out
+        # pandas dropna(): any NULL/NaN in any column removes the row.  Calendar columns are NULL only where the time
+        # is, flags and the index never: testing the others alone keeps sines and cosines out of the filter.
+        calendar = {*derived[:12], "is_summer", "is_monsoon", "is_winter", "will_rain", "row_idx"} - set(raw.columns)
+        out = out.na.drop("any", subset=[c for c in out.columns if c not in calendar])
+    return compile_wide(out)
 
 
 def model_features(engineered: DataFrame, cols: SeriesColumns = SeriesColumns()) -> list[str]:
