@@ -24,6 +24,7 @@ from .sources import tables
 from .sources.adapters import sql_half_even as E
 from .sources.adapters import sql_half_up as R
 from .sources.adapters import with_views
+from .sources.materialize import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -706,9 +707,12 @@ last AS (SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY location OR
                                                    + _future_sql("[1, 3, 6]", "location"), "obs_rows"))
 def g1_future_rows_by_location(spark, sf):
     """G1/G4 as a batch: the latest complete engineered row of every station
-    (a ``max_by`` aggregate, no sort) x the standard horizons, calendar
-    fields moved to the target time."""
+    (a hash aggregate of the largest time, joined back) x the standard
+    horizons, calendar fields moved to the target time."""
     feats = rows_features(spark, sf)
+    # read twice, for the largest time and for its rows: the features are computed once, the columns needed are written
+    needed = ["location", "date_time", *A.LINEITEM_TIEBREAK, *[c for c in _FUTURE_COLS if c in feats.columns]]
+    feats = materialize(feats.select(*needed), "complete-rows")
     rows = fc.future_rows(feats, fc.standard_horizons(), key="location", tiebreak=A.LINEITEM_TIEBREAK)
     return round_doubles(rows.select("location", *_FUTURE_COLS), 6)
 
