@@ -185,38 +185,30 @@ class Trailing:
         for s in specs:
             if s.kind == "lag":
                 out[s.name] = pa.array(back(v, s.n), mask=(age < s.n) | back(null, s.n))
-        frames = [s for s in specs if s.kind != "lag"]
-        widths = {s.n for s in frames}
-        kinds = {s.kind for s in frames}
-        total, missing = np.zeros(n), np.zeros(n, dtype=np.int64)
-        # deviations from the frame's newest value: no cancellation beyond the frame's own spread
-        first, second, now = np.zeros(n), np.zeros(n), back(v, 0)
-        exact = np.zeros(n, dtype=np.int64)
         gaps = null.any()
-        for j in range(max(widths, default=0)):
-            y = back(v, j)
-            total += y
-            if any(s.name in self.whole for s in frames):
-                exact += back(values, j)
-            if "std" in kinds:
-                d = y - now
-                first += d
-                second += d * d
-            if gaps:
-                missing += back(null, j)
-            if j + 1 not in widths:
-                continue
-            mask = age < j
-            if gaps:
-                mask |= missing > 0
+        for width in {s.n for s in specs if s.kind != "lag"}:
+            frames = [s for s in specs if s.kind != "lag" and s.n == width]
+            kinds = {s.kind for s in frames}
+            total, mean, second = np.zeros(n), np.zeros(n), np.zeros(n)
+            exact = np.zeros(n, dtype=np.int64)
+            mask = age < width - 1
+            # oldest to newest, each step as Spark's and DuckDB's aggregates do it: the same bits, so trees split alike
+            for k, j in enumerate(range(width - 1, -1, -1), 1):
+                y = back(v, j)
+                total += y
+                if any(s.name in self.whole for s in frames):
+                    exact += back(values, j)
+                if "std" in kinds:
+                    delta = y - mean
+                    step = delta / k
+                    mean += step
+                    second += delta * (delta - step)
+                if gaps:
+                    mask |= back(null, j)
+            got = {"sum": total, "mean": total / width, "std": np.sqrt(second / (width - 1)) if width > 1 else None}
             for s in frames:
-                if s.n != j + 1:
-                    continue
-                if s.kind == "std":
-                    got = np.sqrt(np.maximum(second - first * first / s.n, 0) / (s.n - 1)) if s.n > 1 else None
-                else:
-                    got = (exact if s.name in self.whole else total).copy() if s.kind == "sum" else total / s.n
-                out[s.name] = pa.nulls(n, pa.float64()) if got is None else pa.array(got, mask=mask)
+                x = exact if s.name in self.whole else got[s.kind]
+                out[s.name] = pa.nulls(n, pa.float64()) if x is None else pa.array(x, mask=mask)
         return out
 
 
