@@ -30,7 +30,8 @@ items travel in blocks of at most ``block_bytes`` of text (a stated query set
 against all rows, in blocks), whose index takes some hundred times as much.
 With more than one block the rows are written once and each block's leaks are
 written on their own, so a worker holds one index at a time.  The index is sent as
-bytes that hold its classes too: workers need no copy of this package.  Words are
+plain arrays, which a worker holds once and only while a stage uses them, and needs no
+copy of this package.  Words are
 compared as words in the verification; hashes only find candidates.
 
 Defined results: NULL texts are empty; items of fewer than ``min_words`` words
@@ -39,15 +40,11 @@ under each of its ids, a repeated document once per row; empty tables give no
 rows; extra columns are ignored.
 """
 
-import pickle
-import uuid
 import zlib
 from itertools import chain
 
 import numpy as np
 import pandas as pd
-import pyspark
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -271,6 +268,22 @@ class Index:
             indexed.append((walk, sig[by], who[by], offs[by], seen, shift))
         return m, stride, least, indexed
 
+    def parts(self) -> dict:
+        """The index as plain values, which a broadcast pickles without this package."""
+        classes = [(m, stride, least, [(vars(walk), *rest) for walk, *rest in walks]) for m, stride, least, walks in self.classes]
+        return vars(self) | {"words": vars(self.words), "classes": classes}
+
+    @classmethod
+    def of(cls, parts: dict) -> "Index":
+        """The index of these :meth:`parts`, whose arrays it shares."""
+        def made(kind, values):
+            out = kind.__new__(kind)
+            vars(out).update(values)
+            return out
+
+        classes = [(m, stride, least, [(made(Walk, walk), *rest) for walk, *rest in walks]) for m, stride, least, walks in parts["classes"]]
+        return made(cls, parts | {"words": made(Vocabulary, parts["words"]), "classes": classes})
+
     def limit(self, n: int) -> int:
         return most_edits(n, 1 - self.similarity)
 
@@ -330,15 +343,11 @@ LEAK = "array<struct<item_id:{},distance:int,item_words:int,first_word:long,end_
 
 def leak_column(text: Column, items: list[tuple], id_type: str, similarity: float, target: float, seed: int,
                 min_words: int, spark) -> Column:
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps(Index(items, similarity, target, seed, min_words)))
-    key = uuid.uuid4().hex
+    sent = spark.sparkContext.broadcast(Index(items, similarity, target, seed, min_words).parts())
 
     @F.pandas_udf(LEAK.format(id_type))
     def run(texts: pd.Series) -> pd.Series:
-        held = pyspark.__dict__.setdefault("_stratus_benchmark_index", [None, None])
-        if held[0] != key:  # one index a worker
-            held[:] = key, pickle.loads(sent.value)
-        index, out, batch, size = held[1], [], [], 0
+        index, out, batch, size = Index.of(sent.value), [], [], 0  # Spark keeps one value a worker and drops it in the next stage
         for t in texts:
             if batch and size + len(t) > _CHUNK:
                 out += index.search(batch)
@@ -349,7 +358,7 @@ def leak_column(text: Column, items: list[tuple], id_type: str, similarity: floa
         return pd.Series([[dict(zip(("item_id", "distance", "item_words", "first_word", "end_word"), h)) for h in hits]
                           for hits in out], dtype=object)
 
-    return run(text)
+    return run.asNondeterministic()(text)  # else a filter on the leaks, explode's too, searches a second time, in workers of its own
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):

@@ -1,9 +1,11 @@
 """Operator 5 over whole tables: exhaustive search, items in several blocks, workers without this package."""
 
 import os
+import pickle
 import subprocess
 import sys
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from stratus.llm import decontaminate as dc
@@ -43,6 +45,28 @@ def test_blocks_of_items_give_the_same_leaks(spark):
     assert any(x for _, x in one) and found(block_bytes=1) == one
 
 
+def test_a_worker_holds_the_index_once():
+    """The broadcast is read without this package, and the index made of it copies no array."""
+    items = [(k, " ".join(f"w{(11 * k + j) % 90}" for j in range(8 + 6 * k))) for k in range(6)]
+    index = dc.Index(items, 0.8, 0.95, 11, 5)
+    sent = pickle.dumps(index.parts())
+    assert b"stratus" not in sent
+    parts = pickle.loads(sent)
+    made = dc.Index.of(parts)
+    texts = [f"before {t} after" for _, t in items] + ["", "none of them"]
+    assert made.search(texts) == index.search(texts) and any(made.search(texts))
+    assert np.shares_memory(made.words.seen, parts["words"]["seen"])
+    for (_, _, _, walks), (_, _, _, given) in zip(made.classes, parts["classes"]):
+        for (walk, *arrays, _), (values, *own, _) in zip(walks, given):
+            assert all(np.shares_memory(a, b) for a, b in zip(arrays, own)) and walk.mult is values["mult"]
+
+
+def test_texts_are_searched_once(spark):
+    """The query's filter on the leaks must not search every text a second time."""
+    df = dc.op5_benchmark_decontamination(spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 SCRIPT = """
 import sys
 sys.path.insert(0, {root!r})

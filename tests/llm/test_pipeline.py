@@ -134,6 +134,15 @@ def test_quality_stage(spark, world):
     assert not any("Subscribe" in r[1] for r in want)
 
 
+def test_stages_compute_a_text_once(spark, world):
+    """A second Python step in a stage doubles its time and the Python workers that an executor keeps."""
+    where, _, rows = world
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for stage in (corpus_pipeline.quality_stage, corpus_pipeline.decontamination_stage, corpus_pipeline.secrets_stage):
+        plan = stage(spark, docs, where)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+
+
 def test_near_duplicate_stage(spark, world):
     where, _, rows = world
     rows = _quality(rows)
