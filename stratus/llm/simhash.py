@@ -93,7 +93,8 @@ def _variants(rows: DataFrame, side: int | None) -> DataFrame:
 def _join(left: DataFrame, right: DataFrame, max_bits: int) -> DataFrame:
     l, r = left.select("key", F.col("fp").alias("a")), right.select("key", F.col("fp").alias("b"))
     far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return l.join(r, (l["key"] == r["key"]) & (far >= 1) & (far <= max_bits)).select("a", "b")
+    # Spark sizes signatures as the rows before the explode, a few tens of times too low: it would broadcast them
+    return l.join(r.hint("merge"), (l["key"] == r["key"]) & (far >= 1) & (far <= max_bits)).select("a", "b")
 
 
 def _pairs(members: DataFrame, lo: int, width: int, max_bits: int, bucket: int) -> DataFrame:
@@ -149,10 +150,11 @@ def classes(prints: DataFrame, max_bits: int, bucket: int) -> DataFrame:
     reps = materialize(prints.groupBy("fp").agg(F.min(F.struct(
         F.col("doc").isNull().alias("none"), "doc", "th", F.col("fp").alias("print"))).alias("rep")), "reps")
     pairs = materialize(near_pairs(reps, max_bits, bucket), "pairs")
-    ends = reps.select(F.col("fp").alias("a"), F.col("rep").alias("ra"))
-    edges = (pairs.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("ra").alias("rb")), "b")
+    # pairs of dense clusters are a few bytes each as written, ten times that in a broadcast
+    ends = reps.select(F.col("fp").alias("a"), F.col("rep").alias("ra")).hint("merge")
+    edges = (pairs.join(ends, "a").join(ends.select(F.col("a").alias("b"), F.col("ra").alias("rb")).hint("merge"), "b")
              .select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    found = components(edges).select(F.col("node.print").alias("fp"), "root")
+    found = components(materialize(edges, "ends")).select(F.col("node.print").alias("fp"), "root")
     return materialize(reps.join(found, "fp", "left").select("fp", F.coalesce("root", "rep").alias("root")), "classes")
 
 

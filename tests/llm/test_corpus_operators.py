@@ -76,6 +76,31 @@ def test_near_pairs_lose_none_at_any_bucket_size(spark, bucket, max_bits):
     assert {(r["a"], r["b"]) for r in found} == want and len(found) == len(want)
 
 
+@pytest.mark.parametrize("bucket, max_bits", [(1, 1), (1000, 3)])
+def test_signatures_are_never_broadcast(spark, bucket, max_bits):
+    """Their size is told as that of the rows before the explode, below the limit of a broadcast for millions of rows."""
+    rows = spark.range(40).select(F.col("id").alias("fp"))
+    found = simhash.near_pairs(rows, max_bits, bucket)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    want = {(a, b) for b in range(40) for a in range(b) if (a ^ b).bit_count() <= max_bits}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_pairs_are_joined_to_their_ends_without_a_broadcast(spark, monkeypatch):
+    plans, write = {}, simhash.materialize
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(simhash, "materialize", watched)
+    prints = write(spark.range(8).select((20 - F.col("id")).alias("doc"), F.col("id").alias("th"), F.col("id").alias("fp")), "prints")
+    got = {r["fp"]: r["root"]["doc"] for r in simhash.classes(prints, 1, 128).collect()}
+    assert got == dict.fromkeys(range(8), 13)
+    assert plans["ends"].count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plans["ends"]
+
+
 def test_near_duplicates_match_brute_force(spark):
     docs = table(spark, SF, "documents")
     rows = docs.select("doc_id", "text").collect()
