@@ -64,6 +64,16 @@ def test_a_line_of_many_texts_goes_on_any_size_of_host(spark, docs_of):
         assert sorted(r["doc_id"] for r in out.collect()) == list(range(0, 1000, 25))
 
 
+def test_lines_beyond_the_list_are_not_broadcast(spark, docs_of):
+    """The join on host and hash of line, whose sides are larger than Spark tells from the files."""
+    import re
+    rows = [(i, f"text number {chr(97 + i)} " + "word " * 20 + "\nAll pages of this site", "s") for i in range(8)]
+    out = quality_rules.apply_rules(docs_of(spark, rows), min_texts=5, listed=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[_host#\d+, h#\d+L\]", plan) and not re.search(r"BroadcastHashJoin \[_host#\d+, h#", plan)
+    assert [r["n"] for r in out.select("quality.n_removed_words").toDF("n").collect()] == [5] * 8
+
+
 def test_quality_rules_match_their_sql(spark):
     import duckdb
     sf = "/root/testdata/sf0.01"
